@@ -26,11 +26,10 @@ def preprocess(
     """Daily series: fill gaps, replace outliers by the median, drop repeated rows.
 
     Only the listed measure columns are touched; calendar columns and codes are not measures.
-    Exact repeats go first: they would share a day and shift the row positions.
     """
-    unique = drop_exact_duplicates(df)
-    filled = interpolate_linear(unique, key=key, order=[day], columns=columns)
-    return replace_outliers(filled, key=key, columns=columns, zero_iqr=zero_iqr, fit_on=fit_on)
+    filled = interpolate_linear(df, key=key, order=[day], columns=columns)
+    fixed = replace_outliers(filled, key=key, columns=columns, zero_iqr=zero_iqr, fit_on=fit_on)
+    return drop_exact_duplicates(fixed)
 
 
 def transform(df: DataFrame, *, key: str, day: str, columns: Sequence[str], **features: object) -> DataFrame:

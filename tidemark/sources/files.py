@@ -30,8 +30,7 @@ def unpack_payload(df: DataFrame, payload: Column, measures: Sequence[str], ids:
     """Parallel arrays of a payload section to rows: ids, time, measures."""
     zipped = F.arrays_zip(*[payload[name].alias(name) for name in ["time", *measures]])
     rows = df.select(*ids, F.explode(zipped).alias("_row"))
-    fields = [F.col("_row")[str(i)].alias(m) for i, m in enumerate(["time", *measures])]
-    return rows.select(*ids, *fields)
+    return rows.select(*ids, *[F.col("_row")[name].alias(name) for name in ["time", *measures]])
 
 
 def parse_payload(
