@@ -9,6 +9,6 @@ from .register import QUERIES, SQL
 
 
 def load() -> tuple[dict, dict]:
-    from . import cleaning, features, ingest, quality  # noqa: F401
+    from . import cleaning, drift, features, ingest, models, quality, streams  # noqa: F401
 
     return dict(QUERIES), dict(SQL)

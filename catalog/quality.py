@@ -104,18 +104,17 @@ def quality_label(spark, sf_dir):
 
 @query(
     with_(*I.DECISIONS)
-    + """, trained AS (SELECT series_key, MAX(MAKE_DATE(run_year, 7, 28)) AS last FROM gated
-  WHERE series_key <> '5-LOW' GROUP BY 1),
+    + """, trained AS (SELECT series_key, MAX(MAKE_DATE(run_year, 7, 28)) AS last FROM gated GROUP BY 1),
 aged AS (
   SELECT s.series_key, COALESCE(CAST(DATE_DIFF('day', t.last, DATE '2001-08-01') AS INTEGER), 999) AS days_since_training
-  FROM (SELECT DISTINCT series_key FROM daily) s LEFT JOIN trained t ON t.series_key = s.series_key)
+  FROM (SELECT DISTINCT series_key FROM daily UNION SELECT DISTINCT event_type FROM events) s LEFT JOIN trained t ON t.series_key = s.series_key)
 SELECT *, days_since_training >= 7 AS should_retrain, GREATEST(0, 7 - days_since_training) AS next_retrain_in FROM aged"""
 )
 def staleness(spark, sf_dir):
-    """Trainings happen every 28 July; one series has never been trained."""
-    trainings = I.gated(spark, sf_dir).where(F.col(KEY) != "5-LOW")
-    trainings = trainings.select(KEY, F.make_date("run_year", F.lit(7), F.lit(28)).alias("trained"))
-    series = I.daily(spark, sf_dir).select(KEY).distinct()
+    """Order series are trained every 28 July; the event series have never been trained."""
+    trainings = I.gated(spark, sf_dir).select(KEY, F.make_date("run_year", F.lit(7), F.lit(28)).alias("trained"))
+    events = I.readings(spark, sf_dir).select(KEY)
+    series = I.daily(spark, sf_dir).select(KEY).unionByName(events).distinct()
     return Q.staleness(series, trainings, key=KEY, trained_at="trained", as_of=F.lit("2001-08-01").cast("date"))
 
 
