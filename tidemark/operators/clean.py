@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import durable
 from .framing import nearest_known, series_window, with_positions
 from .quantiles import COLUMN, daily_quantiles, raw_quantiles, to_long
 
@@ -29,7 +30,7 @@ def interpolate_linear(
     for i, name in enumerate(columns):
         here = F.struct(F.col("_row").alias("at"), F.col(name).cast("double").alias("v"))
         known[f"_known{i}"] = F.when(F.col(name).isNotNull(), here)
-    out = nearest_known(out, [key], ["_row"], known, blocks=blocks)
+    out = nearest_known(out, [key], order, known, blocks=blocks)
     filled = {}
     for i, name in enumerate(columns):
         low, high = F.col(f"_known{i}_before"), F.col(f"_known{i}_after")
@@ -104,11 +105,14 @@ def replace_outliers(
 ) -> DataFrame:
     """Replace values strictly outside the limits by the series' median.
 
-    The limits have one row per series; they join on the key and adaptive execution
-    broadcasts them when they turn out small enough.
+    The limits have one row per series and join on the key.
     """
     bounds = bounds if bounds is not None else iqr_bounds(df, key=key, columns=columns, **fit)
-    joined = df.join(_bounds_per_series(bounds, key, columns), [key], "left")
+    limits = _bounds_per_series(bounds, key, columns)
+    # Raw rows must not be shuffled by series just to meet one row of limits each: stored
+    # limits have a known size and are broadcast when small.  Daily rows are partitioned by
+    # series already.
+    joined = df.join(limits if fit.get("daily", True) else durable(limits), [key], "left")
     fixed = {}
     for i, name in enumerate(columns):
         value, limits = F.col(name).cast("double"), f"_limits_{i}"
@@ -128,6 +132,7 @@ def count_outliers(
     """Outliers per (series, column), with the number of readings looked at."""
     bounds = bounds if bounds is not None else iqr_bounds(df, key=key, columns=columns, **fit)
     limits = bounds.select(key, COLUMN, F.struct("lower", "upper", "q1", "q3").alias("_limits"))
+    limits = limits if fit.get("daily", True) else durable(limits)
     readings = to_long(df, [key], columns).join(limits, [key, COLUMN])
     return readings.groupBy(key, COLUMN).agg(
         F.count("*").alias("n_values"),

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import durable
 from .framing import running_totals
 from .quantiles import raw_quantiles
 
@@ -32,9 +33,9 @@ EPSILON = 1e-4
 def label_samples(df: DataFrame, *, key: str, day: str, window_days: int = WINDOW_DAYS) -> DataFrame:
     """Mark the last ``window_days`` days of each series as recent, the rest as baseline.
 
-    The newest day per series is a small aggregate joined back on the key.
+    The newest day per series is stored first, so that its join is planned by its real size.
     """
-    newest = df.groupBy(key).agg(F.max(F.to_date(day)).alias("_newest"))
+    newest = durable(df.groupBy(key).agg(F.max(F.to_date(day)).alias("_newest")))
     recent = F.datediff(F.col("_newest"), F.to_date(day)) < window_days
     return df.join(newest, key).withColumn("is_recent", recent).drop("_newest")
 
@@ -49,9 +50,8 @@ def _sides(recent: str) -> list[Column]:
 def binned_counts(df: DataFrame, *, key: str, value: str, recent: str, bins: int = 10) -> DataFrame:
     """Baseline and recent counts per baseline-quantile bin; empty bins are included."""
     probs = [i / bins for i in range(1, bins)]
-    edges = raw_quantiles(df.where(~F.col(recent)), [key], [value], probs).select(
-        key, F.col("quantiles").alias("_edges")
-    )
+    quantiles = raw_quantiles(df.where(~F.col(recent)), [key], [value], probs)
+    edges = durable(quantiles.select(key, F.col("quantiles").alias("_edges")))
     inner = F.size(F.filter("_edges", lambda e: e < F.col(value)))
     counts = (
         df.where(F.col(value).isNotNull()).join(edges, key).groupBy(key, inner.alias("bin")).agg(*_sides(recent))

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from ..session import durable
 
 BLOCK = "_block"
+INDEX = "_index"
 POSITION = "_pos"
 
 
@@ -38,12 +39,14 @@ def rows_back(window: WindowSpec, size: int) -> WindowSpec:
 
 
 def cut_into_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Sort globally and label each sorted partition; the labels are stored, so they stay valid.
+    """Sort globally and store each row's sorted partition (block) and its place in there.
 
     Range partitioning samples the composite (keys, order), so a hot key is spread over as
-    many blocks as its share of the rows asks for.
+    many blocks as its share of the rows asks for.  Labels are written with the rows, so they
+    stay valid whatever is recomputed later.
     """
-    return durable(df.orderBy(*keys, *order).withColumn(BLOCK, F.spark_partition_id()))
+    labels = {BLOCK: F.spark_partition_id(), INDEX: F.monotonically_increasing_id()}
+    return durable(df.orderBy(*keys, *order).withColumns(labels))
 
 
 def running_totals(
@@ -53,23 +56,25 @@ def running_totals(
     totals: Mapping[str, Column],
     *,
     overall: Mapping[str, str] | None = None,
-    following: Mapping[str, str] | None = None,
-    keep_block: bool = False,
+    following: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Inclusive running sums per key without a one-task window.
 
     ``totals`` maps an output name to the column to add up.  ``overall`` maps one of these
     names to a column receiving the key's grand total; ``following`` maps an output name to a
     column whose value in the next row of the key is wanted.
+
+    The rows are shuffled once more by (keys, block); the block summaries are partitioned the
+    same way, so joining them moves nothing but the summaries.
     """
     blocks = cut_into_blocks(df, keys, order)
-    inside = Window.partitionBy(*keys, BLOCK).orderBy(*order)
+    inside = Window.partitionBy(*keys, BLOCK).orderBy(INDEX)
     across = Window.partitionBy(*keys).orderBy(BLOCK)  # one row per block
     following = following or {}
 
     summary = blocks.groupBy(*keys, BLOCK).agg(
         *[F.sum(c).alias(f"_sum_{n}") for n, c in totals.items()],
-        *[F.min_by(c, F.struct(*order)).alias(f"_first_{n}") for n, c in following.items()],
+        *[F.min_by(c, INDEX).alias(f"_first_{n}") for n, c in following.items()],
     )
     offsets = {f"_before_{n}": F.sum(f"_sum_{n}").over(across.rowsBetween(Window.unboundedPreceding, -1)) for n in totals}
     for name, target in (overall or {}).items():
@@ -86,14 +91,32 @@ def running_totals(
     finished = {n: F.col(n) + F.coalesce(F.col(f"_before_{n}"), F.lit(0)) for n in totals}
     finished |= {n: F.coalesce(n, f"_next_{n}") for n in following}
     surplus = [f"_before_{n}" for n in totals] + [f"_next_{n}" for n in following]
-    return joined.withColumns(finished).drop(*surplus, *([] if keep_block else [BLOCK]))
+    return joined.withColumns(finished).drop(*surplus, BLOCK, INDEX)
 
 
 def with_positions(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = POSITION, keep_block: bool = False
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    name: str = POSITION,
+    *,
+    total: str | None = None,
+    keep_block: bool = False,
 ) -> DataFrame:
-    """Exact 1-based row number within each key, computed block by block."""
-    return running_totals(df, keys, order, {name: F.lit(1).cast("bigint")}, keep_block=keep_block)
+    """Exact 1-based row number within each key, and on request the key's row count.
+
+    The place inside a block is known from the sort, so only (keys, block) counts are
+    combined; with few of them they are broadcast and the sorted rows are not moved again.
+    """
+    blocks = cut_into_blocks(df, keys, order)
+    counts = blocks.groupBy(*keys, BLOCK).agg(F.count("*").alias("_rows"), F.min(INDEX).alias("_start"))
+    before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    columns = [(F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_start") + 1).alias("_shift")]
+    if total:
+        columns.append(F.sum("_rows").over(Window.partitionBy(*keys)).alias(total))
+    offsets = durable(counts.select(*keys, BLOCK, *columns))
+    placed = blocks.join(offsets, [*keys, BLOCK]).withColumn(name, F.col(INDEX) + F.col("_shift"))
+    return placed.drop("_shift", INDEX, *([] if keep_block else [BLOCK]))
 
 
 def blocked(
@@ -129,17 +152,17 @@ def nearest_known(
     """For each named column expression add ``<name>_before`` and ``<name>_after``.
 
     They hold the last non-NULL value at or before the row and the first one at or after it.
-    Both directions use growing frames (the second on the reversed order), so each costs one
-    pass for all columns; a frame reaching to the end of the series would be recomputed for
-    every row.  With ``blocks`` the frame carries the block labels of ``cut_into_blocks`` and
+    Both directions use growing frames (one on the reversed order), so each costs one pass for
+    all columns; a frame reaching to the end of the series would be recomputed for every row.
+    The reversed pass comes first: the result is then in series order for what follows.  With ``blocks`` the frame carries the block labels of ``cut_into_blocks`` and
     only one summary row per block crosses from block to block.
     """
     parts = [*keys, BLOCK] if blocks else list(keys)
     upto = (Window.unboundedPreceding, Window.currentRow)
     forward = Window.partitionBy(*parts).orderBy(*order).rowsBetween(*upto)
     backward = Window.partitionBy(*parts).orderBy(*[F.col(c).desc() for c in order]).rowsBetween(*upto)
-    out = df.withColumns({f"{n}_before": F.last(c, True).over(forward) for n, c in known.items()})
-    out = out.withColumns({f"{n}_after": F.last(c, True).over(backward) for n, c in known.items()})
+    out = df.withColumns({f"{n}_after": F.last(c, True).over(backward) for n, c in known.items()})
+    out = out.withColumns({f"{n}_before": F.last(c, True).over(forward) for n, c in known.items()})
     if not blocks:
         return out
 

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scalars import mean_of
-from .quantiles import modes
+from .framing import series_window
 
 # Daily column -> (rule, hourly column) of the observation payload.
 HOURLY_RULES = {
@@ -30,20 +29,28 @@ HOURLY_RULES = {
 }
 
 
-def _aggregate(rule: str, column: str) -> Column:
-    if rule == "max":
-        return F.max(column)
-    if rule == "min":
-        return F.min(column)
+# How partial results of a rule's pieces are computed and combined.
+_PIECES = {
+    "max": [("max", F.max, F.max)],
+    "min": [("min", F.min, F.min)],
+    "sum": [("sum", F.sum, F.sum)],
+    "count": [("count", F.count, F.sum)],
+    "mean": [("sum", F.sum, F.sum), ("count", F.count, F.sum)],
+    "count_positive": [("positive", lambda c: F.count_if(F.col(c) > 0), F.sum)],
+}
+
+
+def _piece(kind: str, column: str) -> str:
+    return f"_{kind}_{column}"
+
+
+def _finish(rule: str, column: str) -> Column:
     if rule == "mean":
-        return mean_of(column)
-    if rule == "count":
-        return F.count(column)
+        total, n = F.col(_piece("sum", column)), F.col(_piece("count", column))
+        return F.try_divide(total.cast("double"), n.cast("double"))
     if rule == "sum":  # a day without any reading adds up to zero
-        return F.coalesce(F.sum(column), F.lit(0))
-    if rule == "count_positive":
-        return F.count_if(F.col(column) > 0)
-    raise ValueError(f"unknown rollup rule {rule}")
+        return F.coalesce(_piece("sum", column), F.lit(0))
+    return F.col(_piece(_PIECES[rule][0][0], column))
 
 
 def daily_rollup(
@@ -54,30 +61,54 @@ def daily_rollup(
     rules: Mapping[str, tuple[str, str]],
     day: str = "day",
 ) -> DataFrame:
-    """Aggregate readings to one row per (series, day).
+    """Aggregate readings to one row per (series, day), reading them once.
 
-    All plain aggregates run in one grouped pass with partial aggregation before the shuffle.
-    ``mode`` columns are counted separately (their state would otherwise grow with the number
-    of distinct values) and joined at daily grain.  A NULL-only day has no mode; the mean or
-    first value it would fall back to is then missing as well.
+    ``mode`` columns are counted per value with grouping sets in the same pass, so that no
+    aggregation state grows with the number of distinct values; partial results are combined
+    before each shuffle, so a hot series or day costs no more than any other.  A day without
+    readings of a column has no mode, nor the mean or first value a mode falls back to.
     """
+    modes = [c for rule, c in rules.values() if rule.startswith("mode")]
+    plain = {
+        _piece(kind, column): (column, first, merge)
+        for rule, column in rules.values()
+        if not rule.startswith("mode")
+        for kind, first, merge in _PIECES[rule]
+    }
     dated = df.withColumn(day, F.to_date(ts))
-    plain = {n: r for n, r in rules.items() if not r[0].startswith("mode")}
-    counted = {n: r for n, r in rules.items() if r[0].startswith("mode")}
-    # An empty set of plain rules still has to produce every (series, day).
-    aggregates = [_aggregate(rule, column).alias(n) for n, (rule, column) in plain.items()]
-    out = dated.groupBy(key, day).agg(*aggregates) if aggregates else dated.select(key, day).distinct()
-    for name, (_, column) in counted.items():
-        out = out.join(modes(dated, [key, day], column, name), [key, day], "left")
-    return out.select(key, day, *rules)
+    partial = [first(column).alias(n) for n, (column, first, _) in plain.items()]
+    if not modes:
+        rolled = dated.groupBy(key, day).agg(F.count("*").alias("_n"), *partial)
+    else:
+        per_value = dated.groupingSets([[key, day, c] for c in modes], key, day, *modes).agg(
+            F.count("*").alias("_n"), *[F.grouping(c).alias(f"_not_{c}") for c in modes], *partial
+        )
+        # Every grouping set holds all rows: the plain pieces are taken from the first one.
+        counted = F.col(f"_not_{modes[0]}") == 0
+        merged = [merge(F.when(counted, F.col(n))).alias(n) for n, (_, _, merge) in plain.items()]
+        tops = []
+        for c in modes:
+            known = (F.col(f"_not_{c}") == 0) & F.col(c).isNotNull()
+            tops.append(F.min_by(c, F.when(known, F.struct(-F.col("_n"), F.col(c)))).alias(f"_mode_{c}"))
+        rolled = per_value.groupBy(key, day).agg(*merged, *tops)
+    finished = [
+        (F.col(f"_mode_{column}") if rule.startswith("mode") else _finish(rule, column)).alias(name)
+        for name, (rule, column) in rules.items()
+    ]
+    return rolled.select(key, day, *finished)
 
 
 def densify_daily(df: DataFrame, *, key: str, day: str = "day") -> DataFrame:
-    """Add the missing days between each series' first and last day, with NULL measures."""
-    span = df.groupBy(key).agg(F.min(day).alias("_from"), F.max(day).alias("_to"))
-    calendar = span.select(key, F.explode(F.sequence("_from", "_to", F.expr("interval 1 day"))).alias(day))
-    return calendar.join(df, [key, day], "left")
-
+    """Add the missing days between each series' first and last day, with NULL measures.
 
-def rows_per_group(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count("*").alias("n_rows"))
+    Each row brings the days up to its successor, so neither a join nor a second look at
+    the source is needed.
+    """
+    successor = F.lead(day).over(series_window([key], day))
+    until = F.greatest(F.coalesce(F.date_sub(successor, 1), F.col(day)), F.col(day))
+    spread = df.withColumn("_until", until).withColumn(
+        "_day", F.explode(F.sequence(F.col(day), F.col("_until"), F.expr("interval 1 day")))
+    )
+    measures = [c for c in df.columns if c not in (key, day)]
+    real = F.col("_day") == F.col(day)
+    return spread.select(key, F.col("_day").alias(day), *[F.when(real, F.col(c)).alias(c) for c in measures])

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .framing import running_totals, series_window
+from .framing import series_window, with_positions
 
 # Fixed value: share of the rows, in time order, that trains the models.
 SPLIT_RATIO = 0.8
@@ -17,7 +17,7 @@ def temporal_split(
 ) -> DataFrame:
     """Label the first ``floor(n * ratio)`` rows of each series ``train``, the rest ``test``."""
     if blocks:
-        placed = running_totals(df, [key], order, {"_row": F.lit(1).cast("bigint")}, overall={"_row": "_n"})
+        placed = with_positions(df, [key], order, "_row", total="_n")
     else:
         placed = df.withColumns(
             {

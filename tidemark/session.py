@@ -48,8 +48,12 @@ def work_path(spark: SparkSession, label: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into reliable storage; lost executors do not recompute it."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once into a table in the shared folder and read it back.
+
+    Lost executors then never recompute it, later reads take only the columns they need, and
+    the optimizer knows its real size: a join broadcasts it only if that size is below
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise.
+    """
+    path = work_path(df.sparkSession, "durable")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
