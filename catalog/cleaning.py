@@ -174,13 +174,13 @@ def exact_dedup_counts(spark, sf_dir):
     + """, q AS (
   SELECT series_key, QUANTILE_CONT(value, 0.25) AS q1, QUANTILE_CONT(value, 0.5) AS median, QUANTILE_CONT(value, 0.75) AS q3
   FROM whole GROUP BY 1)
-SELECT w.series_key, w.day, ROUND(CASE WHEN w.value < q1 - (q3 - q1) * 3 OR w.value > q3 + (q3 - q1) * 3
-  THEN median ELSE w.value END, 4) AS value FROM whole w JOIN q ON q.series_key = w.series_key"""
+SELECT w.series_key, w.day, FLOOR(CASE WHEN w.value < q1 - (q3 - q1) * 3 OR w.value > q3 + (q3 - q1) * 3
+  THEN median ELSE w.value END * 1e4 + 0.5) / 1e4 AS value FROM whole w JOIN q ON q.series_key = w.series_key"""
 )
 def preprocess_daily(spark, sf_dir):
     """Interpolate, replace outliers, drop repeats."""
     out = preprocess(I.dense(spark, sf_dir), key=KEY, day=DAY, columns=["value"])
-    return out.select(KEY, DAY, F.round("value", 4).alias("value"))
+    return out.select(KEY, DAY, (F.floor(F.col("value") * 1e4 + 0.5) / 1e4).alias("value"))
 
 
 @query(

@@ -10,7 +10,7 @@ from tidemark.operators.framing import blocked, series_window
 from tidemark.operators.ingest import with_scenarios
 from tidemark.operators.split_scale import apply_scaler, fit_scaler, split_by_date, temporal_split, time_folds
 from tidemark.schema import FEATURES
-from tidemark.session import work_path
+from tidemark.session import durable, work_path
 from tidemark.sources.store import stage
 
 from . import inputs as I
@@ -45,7 +45,7 @@ def _diffs_sql() -> str:
 
 TREND_SQL = """ROUND(CASE WHEN COUNT(*) OVER w30 > 1
   THEN REGR_SLOPE(CAST(value AS DOUBLE), CAST(rn AS DOUBLE)) OVER w30 ELSE 0 END, 5) AS f_trend_30"""
-VOLATILITY_SQL = "ROUND(STDDEV_SAMP(CAST(value AS DOUBLE)) OVER w7, 4) AS f_volatility_7"
+VOLATILITY_SQL = "ROUND(STDDEV_SAMP(CAST(value AS DOUBLE)) OVER w7, 5) AS f_volatility_7"
 NUMBERED = """numbered AS (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY series_key ORDER BY day) AS rn FROM filled)"""
 
@@ -81,7 +81,7 @@ def rolling_trend(spark, sf_dir):
 @query(with_(*I.SERIES) + f"SELECT series_key, day, {VOLATILITY_SQL} FROM filled {WINDOWS}")
 def rolling_volatility(spark, sf_dir):
     out = I.filled(spark, sf_dir).withColumns(W.rolling_volatility("value", by_day()))
-    return out.select(KEY, DAY, F.round("f_volatility_7", 4).alias("f_volatility_7"))
+    return out.select(KEY, DAY, F.round("f_volatility_7", 5).alias("f_volatility_7"))
 
 
 @query(with_(*I.SERIES) + f"SELECT series_key, day, {_diffs_sql()} FROM filled {WINDOWS}")
@@ -145,7 +145,7 @@ MATRIX = f"""derived AS (
   SELECT *, {CALENDAR_SQL}, {CYCLIC_SQL}, {_lags_sql()}, {_means_sql()}, {_diffs_sql()}, {TREND_SQL}, {VOLATILITY_SQL}
   FROM numbered {WINDOWS}),
 matrix AS (SELECT * FROM derived WHERE rn > 30)"""
-ROUNDED = {"f_trend_30": 5, "f_volatility_7": 4, **dict.fromkeys(CYCLIC, 6)}
+ROUNDED = {"f_trend_30": 5, "f_volatility_7": 5, **dict.fromkeys(CYCLIC, 6)}
 INTEGERS = {"f_year", "f_month", "f_quarter", "f_day_of_year", "f_week_of_year"}
 
 
@@ -308,7 +308,7 @@ filled_s AS (
 )
 def scenario_features(spark, sf_dir):
     """Features of hypothetical next days appended to each series."""
-    history = I.filled(spark, sf_dir)
+    history = durable(I.filled(spark, sf_dir))
     newest = W.latest_row(history, key=KEY, order=[DAY])
     next_day = newest.withColumn(DAY, F.date_add(DAY, 1))
     scenarios = next_day.select(

@@ -109,7 +109,7 @@ batch AS (SELECT series_key, day, value * 2 AS value FROM daily WHERE day >= DAT
 
 
 def _stored_and_batch(spark, sf_dir):
-    rows = I.daily(spark, sf_dir).select(KEY, DAY, "value")
+    rows = I.stored_daily(spark, sf_dir).select(KEY, DAY, "value")
     stored = rows.where(F.col(DAY) <= F.lit(STORED_UNTIL).cast("date"))
     batch = rows.where(F.col(DAY) >= F.lit(BATCH_FROM).cast("date")).withColumn("value", F.col("value") * 2)
     return stored, batch
@@ -223,7 +223,7 @@ UNION ALL SELECT series_key, day + 1, CAST(value AS DOUBLE) FROM (
 )
 def append_today_(spark, sf_dir):
     """Today's row joins a 30-day series once, however often it is delivered."""
-    series = last_rows(I.daily(spark, sf_dir).select(KEY, DAY, "value"), key=KEY, order=DAY, n=30)
+    series = last_rows(I.stored_daily(spark, sf_dir).select(KEY, DAY, "value"), key=KEY, order=DAY, n=30)
     today = latest_row(series, key=KEY, order=[DAY]).withColumn(DAY, F.date_add(DAY, 1))
     once = append_today(series, today, keys=KEYS)
     return append_today(once, today, keys=KEYS).select(*KEYS, *_as_double("value"))

@@ -8,6 +8,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.operators.clean import interpolate_linear
@@ -19,6 +21,7 @@ from tidemark.operators.selection import (
     select_composite,
     with_previous_run,
 )
+from tidemark.session import durable
 
 DAILY_RULES = {
     "value": ("sum", "price"),
@@ -53,6 +56,11 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_rollup(prices, key="series_key", ts="ts", rules=DAILY_RULES)
 
 
+def stored_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily series written once, for queries that read them several times."""
+    return durable(daily(spark, sf_dir))
+
+
 DAILY = """daily AS (
   SELECT o_orderpriority AS series_key, CAST(o_orderdate AS DATE) AS day,
          SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS value,
@@ -77,7 +85,8 @@ DENSE = """dense AS (
 def filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gap-free series; values in millionths, so that sums do not depend on their order."""
     whole = interpolate_linear(dense(spark, sf_dir), key="series_key", order=["day"], columns=["value"])
-    return whole.withColumn("value", F.round("value", 6).cast("decimal(18,6)"))
+    millionths = F.floor(F.col("value") * 1e6 + 0.5).cast("decimal(18,0)")
+    return whole.withColumn("value", (millionths * F.lit(Decimal("0.000001"))).cast("decimal(18,6)"))
 
 
 def interpolated_sql(source: str, name: str, order: str, extra: str = "") -> str:
@@ -104,7 +113,9 @@ FILLED = (
     interpolated_sql("dense", "whole", "day")
     + """,
 filled AS (
-  SELECT series_key, day, CAST(ROUND(value, 6) AS DECIMAL(18,6)) AS value FROM whole)"""
+  SELECT series_key, day,
+    CAST(CAST(FLOOR(value * 1e6 + 0.5) AS DECIMAL(18,0)) * CAST(0.000001 AS DECIMAL(7,6)) AS DECIMAL(18,6)) AS value
+  FROM whole)"""
 )
 SERIES = (DAILY, DENSE, FILLED)
 
@@ -234,6 +245,11 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The results table written once, for queries that read it several times."""
+    return durable(results(spark, sf_dir))
+
+
 RESULTS = """results AS (
   SELECT series_key, CAST(YEAR(day) AS INTEGER) AS run_year, model,
     ROUND(SQRT(AVG((y - yhat) * (y - yhat))), 4) AS avg_rmse,

@@ -10,9 +10,12 @@ from tidemark.operators import quality as Q
 from tidemark.operators import registry as R
 from tidemark.operators import report as P
 from tidemark.operators import selection as S
+from tidemark.operators.features import last_rows, latest_row
 from tidemark.operators.ingest import insert_absent
+from tidemark.operators.resample import densify_daily
 from tidemark.operators.split_scale import temporal_split
 from tidemark.plans.lifecycle import register
+from tidemark.session import durable
 
 from . import inputs as I
 from .register import query, with_
@@ -74,7 +77,7 @@ SELECT series_key, n_rows, missing_share,
 )
 def validate_series(spark, sf_dir):
     """Series with gaps: four numeric columns are one too few, many days are missing."""
-    gaps = I.dense(spark, sf_dir).select(KEY, DAY).join(I.daily(spark, sf_dir), [KEY, DAY], "left")
+    gaps = densify_daily(I.daily(spark, sf_dir), key=KEY)
     out = Q.validate_series(gaps, key=KEY, columns=["value", "high", "low", "n_orders"])
     return out.withColumn("errors", F.concat_ws("; ", "errors"))
 
@@ -189,7 +192,7 @@ LEFT JOIN (SELECT series_key, COUNT(*) AS inserted FROM added GROUP BY 1) a ON a
 JOIN batch n ON n.series_key = b.series_key AND n.day = b.newest_day"""
 )
 def collection_summary(spark, sf_dir):
-    rows = I.daily(spark, sf_dir).select(KEY, DAY, "value", "high")
+    rows = I.stored_daily(spark, sf_dir).select(KEY, DAY, "value", "high")
     stored = rows.where(F.col(DAY) <= F.lit("2001-06-30").cast("date"))
     batch = rows.where(F.col(DAY) >= F.lit("2001-06-24").cast("date"))
     added = insert_absent(stored, batch, keys=[KEY, DAY])
@@ -269,8 +272,8 @@ def mape(spark, sf_dir):
 )
 def rolling_error(spark, sf_dir):
     """Logged predictions joined to what was observed, error of the last seven days."""
-    log = I.predictions(spark, sf_dir).where(F.col("model") == "mean_7").select(KEY, DAY, "yhat")
-    actual = I.filled(spark, sf_dir).select(KEY, DAY, F.col("value").cast(D).alias("y"))
+    log = durable(I.predictions(spark, sf_dir).where(F.col("model") == "mean_7"))
+    actual, log = log.select(KEY, DAY, "y"), log.select(KEY, DAY, "yhat")
     out = M.rolling_error(M.join_predictions(actual, log, [KEY, DAY]), key=KEY, day=DAY, y="y", yhat="yhat")
     return out.select(KEY, DAY, F.round("mae_7d", 3).alias("mae_7d"))
 
@@ -403,9 +406,9 @@ def best_run(spark, sf_dir):
 MODEL = [KEY, "model"]
 
 
-def _versions(spark, sf_dir):
+def _versions(results):
     """Version rows: every (series, model) of the years before 1999, all approved, newest serving."""
-    rows = I.results(spark, sf_dir).where(F.col("run_year") < 1999)
+    rows = results.where(F.col("run_year") < 1999)
     order = Window.partitionBy(*MODEL).orderBy("run_year")
     return rows.select(
         *MODEL,
@@ -441,24 +444,30 @@ promoted AS (
   FROM (SELECT *, MAX(CASE WHEN approved THEN version END) OVER (PARTITION BY series_key, model) AS serving FROM together) t)"""
 
 
-def _candidates(spark, sf_dir):
+def _candidates(results):
     """Runs from 1999 on; approved where the model is no worse than the 30-day mean."""
-    rows = I.results(spark, sf_dir).where(F.col("run_year") >= 1999)
+    rows = results.where(F.col("run_year") >= 1999)
     limit = F.max(F.when(F.col("model") == "mean_30", F.col("avg_rmse"))).over(Window.partitionBy(*I.EXPERIMENT))
     return rows.withColumn("should_deploy", F.col("avg_rmse") <= limit)
 
 
+def _promoted(spark, sf_dir):
+    results = I.stored_results(spark, sf_dir)
+    return register(_versions(results), _candidates(results), model=MODEL, run="run_year")
+
+
 @query(with_(*I.RUNS, VERSIONS) + "SELECT series_key, model, run_id, approved, version FROM numbered")
 def next_version(spark, sf_dir):
-    candidates = _candidates(spark, sf_dir).select(
+    results = I.stored_results(spark, sf_dir)
+    candidates = _candidates(results).select(
         *MODEL, F.col("run_year").alias("run_id"), F.col("should_deploy").alias("approved")
     )
-    return R.next_versions(_versions(spark, sf_dir), candidates, MODEL, ["run_id"])
+    return R.next_versions(_versions(results), candidates, MODEL, ["run_id"])
 
 
 @query(with_(*I.RUNS, VERSIONS) + "SELECT series_key, model, run_id, approved, version, stage FROM promoted")
 def promote_versions(spark, sf_dir):
-    return register(_versions(spark, sf_dir), _candidates(spark, sf_dir), model=MODEL, run="run_year")
+    return _promoted(spark, sf_dir)
 
 
 @query(
@@ -467,8 +476,7 @@ def promote_versions(spark, sf_dir):
   COUNT(*) AS n_versions FROM promoted GROUP BY 1, 2, 3"""
 )
 def list_models(spark, sf_dir):
-    promoted = register(_versions(spark, sf_dir), _candidates(spark, sf_dir), model=MODEL, run="run_year")
-    return R.list_models(promoted, MODEL)
+    return R.list_models(_promoted(spark, sf_dir), MODEL)
 
 
 @query(
@@ -476,5 +484,52 @@ def list_models(spark, sf_dir):
     + "SELECT series_key, model, MAX(version) AS version FROM promoted WHERE stage = 'Production' GROUP BY 1, 2"
 )
 def production_version(spark, sf_dir):
-    promoted = register(_versions(spark, sf_dir), _candidates(spark, sf_dir), model=MODEL, run="run_year")
-    return R.production_version(promoted, MODEL)
+    return R.production_version(_promoted(spark, sf_dir), MODEL)
+
+
+@query(
+    with_(*I.RUNS)
+    + " UNION ALL ".join(
+        f"SELECT series_key, run_year, model, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM results"
+        for m in ("avg_rmse", "avg_mae", "avg_r2", "training_seconds", "test_rows")
+    )
+)
+def run_log(spark, sf_dir):
+    """Metrics as rows of the run log."""
+    names = ["avg_rmse", "avg_mae", "avg_r2", "training_seconds", "test_rows"]
+    return M.metrics_to_runs(I.results(spark, sf_dir), [*I.EXPERIMENT, "model"], names)
+
+
+@query(
+    with_(*I.SERIES, I.PREDICTIONS)
+    + """SELECT f.series_key, f.day, CAST(f.value AS DOUBLE) AS value, COALESCE(p.yhat, 0) AS predicted_value FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY series_key ORDER BY day DESC) AS r FROM filled) f
+LEFT JOIN (SELECT series_key, yhat, ROW_NUMBER() OVER (PARTITION BY series_key ORDER BY day DESC) AS r FROM predictions
+  WHERE model = 'mean_30') p ON p.series_key = f.series_key AND p.r = 1 WHERE f.r = 1"""
+)
+def dashboard_headline(spark, sf_dir):
+    """The newest day of each series with the newest prediction beside it."""
+    log = I.predictions(spark, sf_dir).where(F.col("model") == "mean_30")
+    newest = latest_row(I.filled(spark, sf_dir), key=KEY, order=[DAY]).withColumn("value", F.col("value").cast(D))
+    predicted = latest_row(log, key=KEY, order=[DAY]).select(KEY, F.col("yhat").alias("value"))
+    return P.headline(newest, predicted, key=KEY, columns=["value"])
+
+
+@query(
+    with_(I.DAILY)
+    + """SELECT series_key, CAST(COUNT(*) AS INTEGER) AS points, MIN(day) AS first_day, MAX(day) AS last_day,
+  CAST(SUM(n_orders) AS BIGINT) AS orders FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY series_key ORDER BY day DESC) AS r FROM daily) t WHERE r <= 30 GROUP BY 1"""
+)
+def chart_arrays(spark, sf_dir):
+    """Equally long arrays of the last 30 days, checked through their ends and their sum."""
+    recent = last_rows(I.daily(spark, sf_dir).select(KEY, DAY, "n_orders"), key=KEY, order=DAY, n=30)
+    packed = P.chart_arrays(recent, key=KEY, day=DAY, columns=["n_orders"])
+    total = F.aggregate("n_orders", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return packed.select(
+        KEY,
+        F.size("n_orders").alias("points"),
+        F.element_at(DAY, 1).alias("first_day"),
+        F.element_at(DAY, -1).alias("last_day"),
+        total.alias("orders"),
+    )

@@ -17,9 +17,10 @@ from ..functions.scalars import name_predictions, season_fallback, vector_values
 from ..schema import require_columns
 from . import metrics as M
 
-# Settings of the three model families.
-FOREST = {"numTrees": 200, "maxDepth": 15, "minInstancesPerNode": 2, "seed": 42}
-BOOSTING = {"maxIter": 150, "stepSize": 0.1, "maxDepth": 6, "seed": 42}
+# Settings of the three model families.  Node ids are cached so that growing trees
+# are not sent to the tasks at every level.
+FOREST = {"numTrees": 200, "maxDepth": 15, "minInstancesPerNode": 2, "seed": 42, "cacheNodeIds": True}
+BOOSTING = {"maxIter": 150, "stepSize": 0.1, "maxDepth": 6, "seed": 42, "cacheNodeIds": True}
 LINEAR = {"regParam": 0.0, "solver": "normal"}
 
 # Search ranges of the forest (both ends included).  Spark ML has no minimum
@@ -49,21 +50,28 @@ def fit_models(
 ) -> PipelineModel:
     """One regressor per target behind a shared assembler and scaler.
 
-    Predictions go to ``<target>_hat``.  Each fit is a distributed Spark ML job; ``train``
-    should be cached by the caller because every target reads it.
+    Predictions go to ``<target>_hat``.  Each fit is a distributed Spark ML job; the fits of
+    the targets are independent and are submitted together over one cached vector table.
     """
     require_columns(train, [*features, *targets])
-    regressors = [
-        FAMILIES[family](
-            featuresCol="scaled", labelCol=t, predictionCol=f"{t}_hat", **dict(params or {})
-        )
-        for t in targets
-    ]
-    prepare = [
-        VectorAssembler(inputCols=list(features), outputCol="features"),
-        StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
-    ]
-    return Pipeline(stages=[*prepare, *regressors]).fit(train)
+    prepare = Pipeline(
+        stages=[
+            VectorAssembler(inputCols=list(features), outputCol="features"),
+            StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
+        ]
+    ).fit(train)
+    vectors = prepare.transform(train).select("scaled", *targets).cache()
+
+    def fit(target: str):
+        settings = {"featuresCol": "scaled", "labelCol": target, "predictionCol": f"{target}_hat"}
+        return FAMILIES[family](**settings, **dict(params or {})).fit(vectors)
+
+    try:
+        with ThreadPoolExecutor(len(targets)) as pool:
+            fitted = list(pool.map(fit, targets))
+    finally:
+        vectors.unpersist()
+    return PipelineModel(stages=[*prepare.stages, *fitted])
 
 
 def score(model: PipelineModel, df: DataFrame, targets: Sequence[str]) -> DataFrame:

@@ -27,8 +27,13 @@ def read_documents(spark: SparkSession, path: str, schema: T.StructType | str |
 
 
 def unpack_payload(df: DataFrame, payload: Column, measures: Sequence[str], ids: Sequence[str]) -> DataFrame:
-    """Parallel arrays of a payload section to rows: ids, time, measures."""
-    zipped = F.arrays_zip(*[payload[name].alias(name) for name in ["time", *measures]])
+    """Parallel arrays of a payload section to rows: ids, time, measures.
+
+    A measure the payload lacks is missing on every row; the rows themselves stay.
+    """
+    absent = F.array().cast("array<double>")
+    arrays = [payload["time"].alias("time"), *[F.coalesce(payload[m], absent).alias(m) for m in measures]]
+    zipped = F.arrays_zip(*arrays)
     rows = df.select(*ids, F.explode(zipped).alias("_row"))
     return rows.select(*ids, *[F.col("_row")[name].alias(name) for name in ["time", *measures]])
 

@@ -27,10 +27,13 @@ def has_rows(df: DataFrame | None) -> bool:
     return df is not None and not df.isEmpty()
 
 
-def create_table(spark: SparkSession, name: str, schema: T.StructType, partition: str = YEAR) -> None:
+def create_table(
+    spark: SparkSession, name: str, schema: T.StructType, partition: str = YEAR, location: str | None = None
+) -> None:
     """Create the catalog table if absent.  Partition pruning stands in for date indexes."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({partition})")
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({partition}){place}")
 
 
 def write_observations(df: DataFrame, path: str, *, day: str = "day", mode: str = "append") -> None:
