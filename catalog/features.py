@@ -8,7 +8,7 @@ from tidemark.functions.calendar import with_calendar_columns, with_calendar_fea
 from tidemark.operators import features as W
 from tidemark.operators.framing import blocked, series_window
 from tidemark.operators.ingest import with_scenarios
-from tidemark.operators.split_scale import apply_scaler, fit_scaler, split_by_date, temporal_split, time_folds
+from tidemark.operators.split_scale import apply_scaler, fit_scaler, split_by_date, temporal_split, temporal_split_raw, time_folds
 from tidemark.schema import FEATURES
 from tidemark.session import durable, work_path
 from tidemark.sources.store import stage
@@ -364,10 +364,10 @@ def temporal_split_(spark, sf_dir):
   SELECT series_key, event_id, ROW_NUMBER() OVER (PARTITION BY series_key ORDER BY ts, event_id) AS r,
     COUNT(*) OVER (PARTITION BY series_key) AS n FROM readings) t"""
 )
-def temporal_split_raw(spark, sf_dir):
-    """The split of raw readings: exact positions block by block."""
+def temporal_split_raw_(spark, sf_dir):
+    """The split of raw readings: counts per hour, only the cutting hour is ranked."""
     rows = I.readings(spark, sf_dir).select(KEY, "ts", "event_id")
-    return temporal_split(rows, key=KEY, order=READING_ORDER, blocks=True).select(KEY, "event_id", "split")
+    return temporal_split_raw(rows, key=KEY, order=READING_ORDER).select(KEY, "event_id", "split")
 
 
 @query(

@@ -65,6 +65,19 @@ def test_raw_quantiles_equal_numpy(spark, series, values):
     assert np.allclose(got, np.quantile(values, probs))
 
 
+def test_raw_quantiles_with_enclosures(spark):
+    """A sketch this coarse leaves most readings outside the enclosures."""
+    rng = np.random.default_rng(11)
+    values = {"hot": rng.normal(0, 50, 8000).round(2), "tied": rng.integers(0, 3, 1500) * 1.0, "small": rng.normal(0, 1, 30)}
+    rows = [(k, float(v)) for k, vs in values.items() for v in vs]
+    df = spark.createDataFrame(rows, "series_key string, value double").repartition(5)
+    probs = [0.0, 0.1, 0.25, 0.26, 0.5, 0.75, 0.99, 1.0]
+    got = raw_quantiles(df, ["series_key"], ["value"], probs, accuracy=200).collect()
+    assert len(got) == 3
+    for r in got:
+        assert np.allclose(r.quantiles, np.quantile(values[r.series_key], probs))
+
+
 @pytest.mark.parametrize("daily", [True, False])
 @pytest.mark.parametrize("mode,last", [("replace", 0.0), ("skip", 5.0)])
 def test_zero_iqr(spark, series, column, daily, mode, last):

@@ -10,7 +10,7 @@ from tidemark.functions import calendar as K
 from tidemark.operators import features as W
 from tidemark.operators.framing import blocked, running_totals, series_window, with_positions
 from tidemark.operators.ingest import with_scenarios
-from tidemark.operators.split_scale import apply_scaler, fit_scaler, split_by_date, temporal_split, time_folds
+from tidemark.operators.split_scale import apply_scaler, fit_scaler, split_by_date, temporal_split, temporal_split_raw, time_folds
 from tidemark.schema import FEATURES
 
 QUICK = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -170,16 +170,26 @@ def test_scenario_features_equal_appending_to_history(spark, series):
     assert len(a) == 2 and np.allclose(a, b)
 
 
-@pytest.mark.parametrize("blocks", [False, True])
-def test_temporal_split(spark, series, blocks):
-    df = series({"a": range(10), "b": range(7)})
-    out = temporal_split(df, key="series_key", order=["day"], blocks=blocks)
+@pytest.mark.parametrize("split", [temporal_split, temporal_split_raw])
+def test_temporal_split(spark, series, split):
+    df = series({"a": range(10), "b": range(7), "c": [1]}).withColumn("day", F.col("day").cast("timestamp"))
+    out = split(df, key="series_key", order=["day"])
     train = {r.series_key: r["count"] for r in out.where("split = 'train'").groupBy("series_key").count().collect()}
-    assert train == {"a": 8, "b": 5}
+    assert train == {"a": 8, "b": 5} and out.count() == 18
     latest_train = out.where("split = 'train'").agg(F.max("value")).first()[0]
     assert latest_train == 7
 
 
+def test_raw_split_cuts_inside_a_crowded_hour(spark):
+    rows = spark.range(0, 1000, numPartitions=3).select(
+        F.lit("hot").alias("k"), "id", F.expr("timestamp'2024-01-01 00:00:00' + make_interval(0,0,0,0,0,0,id)").alias("ts")
+    )
+    rows = rows.withColumn("ts", F.when(F.col("id") >= 100, F.lit("2024-01-01 05:30:00").cast("timestamp")).otherwise(F.col("ts")))
+    out = temporal_split_raw(rows, key="k", order=["ts", "id"], ratio=0.5)
+    ids = [r.id for r in out.where("split = 'train'").orderBy("id").collect()]
+    assert ids == list(range(500)) and out.count() == 1000
+
+
 def test_split_by_date_and_folds(spark, series, column):
     df = series({"a": range(10)})
     assert split_by_date(df, day="day", first_test_day="2023-01-04").where("split = 'train'").count() == 3

@@ -52,7 +52,9 @@ def binned_counts(df: DataFrame, *, key: str, value: str, recent: str, bins: int
     probs = [i / bins for i in range(1, bins)]
     quantiles = raw_quantiles(df.where(~F.col(recent)), [key], [value], probs)
     edges = durable(quantiles.select(key, F.col("quantiles").alias("_edges")))
-    inner = F.size(F.filter("_edges", lambda e: e < F.col(value)))
+    inner = F.lit(0)
+    for i in range(bins - 1):
+        inner = inner + (F.col(value) > F.col("_edges")[i]).cast("int")
     counts = (
         df.where(F.col(value).isNotNull()).join(edges, key).groupBy(key, inner.alias("bin")).agg(*_sides(recent))
     )

@@ -6,29 +6,54 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import durable
 from .framing import series_window, with_positions
 
 # Fixed value: share of the rows, in time order, that trains the models.
 SPLIT_RATIO = 0.8
 
 
-def temporal_split(
-    df: DataFrame, *, key: str, order: Sequence[str], ratio: float = SPLIT_RATIO, blocks: bool = False
-) -> DataFrame:
-    """Label the first ``floor(n * ratio)`` rows of each series ``train``, the rest ``test``."""
-    if blocks:
-        placed = with_positions(df, [key], order, "_row", total="_n")
-    else:
-        placed = df.withColumns(
-            {
-                "_row": F.row_number().over(series_window([key], order)),
-                "_n": F.count("*").over(Window.partitionBy(key)),
-            }
-        )
+def temporal_split(df: DataFrame, *, key: str, order: Sequence[str], ratio: float = SPLIT_RATIO) -> DataFrame:
+    """Label the first ``floor(n * ratio)`` days of each daily series ``train``, the rest ``test``."""
+    placed = df.withColumns(
+        {
+            "_row": F.row_number().over(series_window([key], order)),
+            "_n": F.count("*").over(Window.partitionBy(key)),
+        }
+    )
     label = F.when(F.col("_row") <= F.floor(F.col("_n") * F.lit(float(ratio))), "train").otherwise("test")
     return placed.withColumn("split", label).drop("_row", "_n")
 
 
+def temporal_split_raw(
+    df: DataFrame, *, key: str, order: Sequence[str], ratio: float = SPLIT_RATIO, bucket: str = "hour"
+) -> DataFrame:
+    """The same split for raw readings of any number, without sorting them.
+
+    Readings are counted per (series, time bucket); running counts of that small table name the
+    bucket the cut falls into.  Rows of other buckets are labelled by comparison, only the
+    cutting bucket's rows are ranked (block by block).  ``order[0]`` is the timestamp, the rest
+    breaks ties.
+    """
+    at = F.date_trunc(bucket, order[0])
+    counts = df.groupBy(key, at.alias("_cutoff")).agg(F.count("*").alias("_rows"))
+    by_time = Window.partitionBy(key).orderBy("_cutoff").rowsBetween(Window.unboundedPreceding, 0)
+    cut = F.floor(F.col("_n") * F.lit(float(ratio)))
+    placed = counts.withColumns(
+        {"_upto": F.sum("_rows").over(by_time), "_n": F.sum("_rows").over(Window.partitionBy(key))}
+    )
+    cutting = placed.where((cut > F.col("_upto") - F.col("_rows")) & (cut <= F.col("_upto")))
+    # One row per series; a series too short for a training row has none.
+    cutting = durable(cutting.select(key, "_cutoff", (cut - F.col("_upto") + F.col("_rows")).alias("_take")))
+
+    joined = df.join(cutting, key, "left")
+    decided = joined.where(F.col("_cutoff").isNull() | (at != F.col("_cutoff")))
+    decided = decided.withColumn("split", F.when(at < F.col("_cutoff"), "train").otherwise("test"))
+    ranked = with_positions(joined.where(at == F.col("_cutoff")), [key], order, "_row")
+    ranked = ranked.withColumn("split", F.when(F.col("_row") <= F.col("_take"), "train").otherwise("test"))
+    return decided.unionByName(ranked.drop("_row")).drop("_cutoff", "_take")
+
+
 def split_by_date(df: DataFrame, *, day: str, first_test_day: str) -> DataFrame:
     """Label rows before the given day ``train`` and the others ``test``."""
     return df.withColumn("split", F.when(F.col(day) < F.lit(first_test_day).cast("date"), "train").otherwise("test"))
