@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import drift as X
+from tidemark.session import durable
 
 from . import inputs as I
 from .register import query, with_
@@ -113,3 +116,31 @@ FROM steps GROUP BY 1"""
 def drift_wasserstein(spark, sf_dir):
     out = X.wasserstein(_steps(spark, sf_dir), key=KEY, value="value")
     return out.select(KEY, F.round("wasserstein", 6).alias("wasserstein"))
+
+
+@query(
+    with_(I.READINGS, LABELLED, BINNED, STEPS)
+    + """, verdicts AS (
+  SELECT series_key, MAX(ABS(base_share - recent_share)) > 0.15 AS drifted FROM steps GROUP BY 1
+  UNION ALL SELECT series_key, SUM(ABS(base_share - recent_share) * (next_value - value)) > 0.2 FROM steps GROUP BY 1
+  UNION ALL SELECT series_key,
+    SUM((GREATEST(q, 0.0001) - GREATEST(p, 0.0001)) * LN(GREATEST(q, 0.0001) / GREATEST(p, 0.0001))) > 0.1 FROM shares GROUP BY 1
+  UNION ALL SELECT series_key, SUM(
+    CASE WHEN p > 0 THEN p * LOG2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * LOG2(q / ((p + q) / 2)) ELSE 0 END) / 2 > 0.15
+  FROM shares GROUP BY 1)
+SELECT series_key, COUNT(drifted) AS n_verdicts, COUNT(*) FILTER (WHERE drifted)::DOUBLE / COUNT(drifted) AS drift_share,
+  COUNT(*) FILTER (WHERE drifted)::DOUBLE / COUNT(drifted) > 0.3 AS overall_drift FROM verdicts GROUP BY 1"""
+)
+def drift_overall(spark, sf_dir):
+    """Four statistics of every series judged together."""
+    rows = _labelled(spark, sf_dir)
+    steps = durable(X.cumulative_shares(rows, key=KEY, value="value", recent="is_recent"))
+    counts = durable(X.binned_counts(rows, key=KEY, value="value", recent="is_recent"))
+    scored = {
+        "ks": (X.kolmogorov_smirnov(steps, key=KEY), X.THRESHOLDS["kolmogorov_smirnov"]),
+        "wasserstein": (X.wasserstein(steps, key=KEY, value="value"), X.THRESHOLDS["wasserstein"]),
+        "psi": (X.psi(counts, key=KEY), X.THRESHOLDS["psi"]),
+        "js_divergence": (X.js_divergence(counts, key=KEY), X.THRESHOLDS["js_divergence"]),
+    }
+    verdicts = [X.drift_verdict(df, n, threshold=t).select(KEY, "drifted") for n, (df, t) in scored.items()]
+    return X.overall_drift(reduce(lambda a, b: a.unionByName(b), verdicts), key=KEY)

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from tidemark.operators import training as T
 from tidemark.operators.features import feature_matrix
 from tidemark.operators.selection import top_importances
-from tidemark.operators.split_scale import temporal_split
+from tidemark.operators.split_scale import temporal_split, time_folds
 from tidemark.plans.lifecycle import train_run
-from tidemark.session import work_path
+from tidemark.session import durable, work_path
 
 from . import inputs as I
 from .register import query, with_
@@ -94,6 +94,13 @@ def tune_forest(spark, sf_dir):
     return spark.createDataFrame([(i, str(s), e) for i, (s, e) in enumerate(outcomes)], "trial int, setting string, pooled_rmse double")
 
 
+@query()
+def ts_cross_validation(spark, sf_dir):
+    """Expanding-window validation of the linear model over five folds."""
+    rows = durable(time_folds(_training_rows(spark, sf_dir).drop("split"), key=KEY, order=[DAY]))
+    return T.cross_validate(rows, family="LinearRegression", features=FEATURES, targets=TARGETS)
+
+
 @query(
     with_(*I.SERIES)
     + """SELECT series_key, day, ROUND(20.0::DOUBLE + 5 * SIN(2 * PI() * MONTH(day) / 12) + 0.02::DOUBLE * (YEAR(day) - 2000), 6) AS value_hat

@@ -82,6 +82,14 @@ def test_chi_square_and_verdict(spark):
     assert got == [None, True, False]
 
 
+def test_overall_drift(spark):
+    rows = [("a", True), ("a", False), ("a", None), ("b", False), ("b", False), ("c", None)]
+    out = X.overall_drift(spark.createDataFrame(rows, "k string, drifted boolean"), key="k").collect()
+    assert {r.k: (r.n_verdicts, r.drift_share, r.overall_drift) for r in out} == {
+        "a": (2, 0.5, True), "b": (2, 0.0, False), "c": (0, None, False),
+    }
+
+
 def test_recent_window(spark, series):
     df = X.label_samples(series({"a": range(40)}), key="series_key", day="day")
     assert df.where("is_recent").count() == 30

@@ -2,14 +2,18 @@ import json
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from tidemark.operators import training as T
 from tidemark.operators.features import feature_matrix
 from tidemark.operators.selection import top_importances
-from tidemark.operators.split_scale import temporal_split
+from tidemark.operators.split_scale import temporal_split, time_folds
 from tidemark.plans.lifecycle import train_run
 from tidemark.plans.preparation import prepare, staged, transform
+from tidemark.plans.stages import SeriesFeatures
 from tidemark.schema import FEATURES
 from tidemark.session import work_path
 from tidemark.sources import store
@@ -123,6 +127,32 @@ def test_transform_and_stages(spark, series):
     assert built.count() == 30 and staged(spark, folder, df.limit(0), **kw).count() == 30
 
 
+def test_cross_validation_trains_on_the_past(rows):
+    folded = time_folds(rows.drop("split"), key="series_key", order=["day"])
+    out = T.cross_validate(folded, family="LinearRegression", features=NAMES, targets=["value_ahead"]).orderBy("fold").collect()
+    assert [r.fold for r in out] == [2, 3, 4, 5]
+    assert all(r.rmse < 10 for r in out[1:])
+
+
+def test_feature_stage_survives_saving(spark, series):
+    df = series({"a": [float((i * 5) % 17) for i in range(80)]}).withColumn("value", F.when(F.col("value") != 10, F.col("value")))
+    stage = SeriesFeatures(columns=["value"], value="value", horizon=1, targets=["value"])
+    assembler = VectorAssembler(inputCols=NAMES, outputCol="features")
+    model = Pipeline(stages=[stage, assembler, LinearRegression(labelCol="value_ahead")]).fit(df)
+    path = work_path(spark, "test-stage")
+    T.save_pipeline(model, path)
+    again = T.load_pipeline(path).transform(df).select("day", "prediction")
+    assert again.count() == 49
+    assert again.exceptAll(model.transform(df).select("day", "prediction")).count() == 0
+
+
+def test_vector_table(spark, rows):
+    path = work_path(spark, "test-matrix")
+    T.assembled(rows, NAMES).select("day", "features", "value_ahead").write.parquet(path)
+    stored = spark.read.parquet(path)
+    assert stored.first().features.size == len(NAMES) and stored.count() == rows.count()
+
+
 # streaming --------------------------------------------------------------------------------
 
 

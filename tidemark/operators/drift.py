@@ -149,3 +149,15 @@ def drift_verdict(scored: DataFrame, statistic: str, *, threshold: float, enough
     for n in enough:
         verdict = F.when(F.col(n) >= MIN_SAMPLES, verdict)
     return scored.withColumn("drifted", verdict)
+
+
+def overall_drift(verdicts: DataFrame, *, key: str, drifted: str = "drifted", limit: float = OVERALL_THRESHOLD) -> DataFrame:
+    """Share of a series' verdicts that report drift, and whether that is too many.
+
+    ``verdicts`` has a row per (series, statistic); rows without a verdict do not count.
+    """
+    shares = verdicts.groupBy(key).agg(
+        F.count(drifted).alias("n_verdicts"),
+        F.try_divide(F.count_if(drifted).cast("double"), F.count(drifted).cast("double")).alias("drift_share"),
+    )
+    return shares.withColumn("overall_drift", F.coalesce(F.col("drift_share") > limit, F.lit(False)))

@@ -15,12 +15,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import name_predictions, season_fallback, vector_values
 from ..schema import require_columns
+from ..session import durable
 from . import metrics as M
 
-# Settings of the three model families.  Node ids are cached so that growing trees
+# Settings of the three model families.  The forest caches node ids so that growing trees
 # are not sent to the tasks at every level.
 FOREST = {"numTrees": 200, "maxDepth": 15, "minInstancesPerNode": 2, "seed": 42, "cacheNodeIds": True}
-BOOSTING = {"maxIter": 150, "stepSize": 0.1, "maxDepth": 6, "seed": 42, "cacheNodeIds": True}
+BOOSTING = {"maxIter": 150, "stepSize": 0.1, "maxDepth": 6, "seed": 42}
 LINEAR = {"regParam": 0.0, "solver": "normal"}
 
 # Search ranges of the forest (both ends included).  Spark ML has no minimum
@@ -142,8 +143,6 @@ def train_and_compare(
             scored = evaluate(score(models[family], matrix, targets), ["split"], targets)
             results.append(scored.select(F.lit(family).alias("model"), F.lit(seconds).alias("training_seconds"), "*"))
         # The metrics table has families x splits x targets rows; keep it when the cache goes.
-        from ..session import durable
-
         return models, durable(reduce(DataFrame.unionByName, results))
     finally:
         matrix.unpersist()
@@ -211,6 +210,26 @@ def tune_forest(
     return min(outcomes, key=lambda o: o[1])[0], outcomes
 
 
+def cross_validate(
+    rows: DataFrame,
+    *,
+    family: str,
+    features: Sequence[str],
+    targets: Sequence[str],
+    fold: str = "fold",
+    folds: int = 5,
+    params: Mapping[str, object] | None = None,
+) -> DataFrame:
+    """Expanding-window validation: fold k is scored by a model fitted on the folds before it."""
+    results = []
+    for k in range(2, folds + 1):
+        model = fit_models(
+            rows.where(F.col(fold) < k), family=family, features=features, targets=targets, params=params
+        )
+        results.append(evaluate(score(model, rows.where(F.col(fold) == k), targets), [fold], targets))
+    return durable(reduce(DataFrame.unionByName, results))
+
+
 def univariate_ols(df: DataFrame, *, key: str, x: Column, y: Column) -> DataFrame:
     """Least-squares line per series in one aggregation."""
     return df.groupBy(key).agg(
