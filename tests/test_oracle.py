@@ -1,6 +1,5 @@
 """Every registered query against its SQL in DuckDB, column by column and value by value."""
 
-import duckdb
 import pytest
 
 import __spark_entry__ as contract
@@ -11,8 +10,9 @@ QUERIES, SQL = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
-def duck() -> duckdb.DuckDBPyConnection:
-    return check.connect(SF_DIR)
+def duck():
+    with check.connect(SF_DIR) as con:
+        yield con
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
