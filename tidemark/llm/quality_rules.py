@@ -31,7 +31,8 @@ from tidemark.session import durable
 BLANK = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 MEASURES = (
-    "n_words word_chars n_symbols n_dup_lines n_repeat_words n_lines n_shouted n_marks n_ends n_distinct".split()
+    "n_words word_chars n_symbols n_dup_lines n_repeat_words n_lines n_shouted n_marks n_ends n_distinct n_adjacent"
+    " n_affixed n_doubled n_other".split()
 )
 
 
@@ -50,18 +51,28 @@ class Rule:
         return F.when(value.isNull(), 0).otherwise(frame.otherwise(0)).cast("int").alias(f"vote_{self.name}")
 
 
+# Each kind of damage shows in several measures, so that rules can confirm each other.
 RULES = (
     Rule("symbols", "n_symbols / nullif(n_words, 0)", "< 0.02", "> 0.1"),
+    Rule("affixes", "n_affixed / nullif(n_words, 0)", "< 0.02", "> 0.1"),
+    Rule("others", "n_other / nullif(word_chars, 0)", "< 0.06", "> 0.09"),
+    Rule("doubled", "n_doubled / nullif(n_words, 0)", "< 0.02", "> 0.1"),
     Rule("shouting", "n_shouted / nullif(n_words, 0)", "< 0.1", "> 0.3"),
     Rule("marks", "n_marks / nullif(n_words, 0)", "< 0.05", "> 0.2"),
     Rule("repeats", "n_repeat_words / nullif(n_words, 0)", "< 0.1", "> 0.4"),
+    Rule("adjacent", "n_adjacent / nullif(n_words, 0)", "< 0.05", "> 0.2"),
     Rule("lines", "n_dup_lines / nullif(n_lines, 0)", "< 0.2", "> 0.5"),
     Rule("length", "word_chars / nullif(n_words, 0)", "between 2.5 and 12", "not between 1.5 and 20"),
-    Rule("variety", "n_distinct / nullif(n_words, 0)", "> 0.3", "< 0.12 AND n_words < 3000"),
-    Rule("sentences", "n_ends / nullif(n_words, 0)", "between 0.01 and 0.5", "> 0.9"),
+    Rule("sentences", "n_ends / nullif(n_words, 0)", "between 0.01 and 0.5", "not between 0.002 and 0.9"),
 )
 
 
+_AFFIXES = tuple(c.encode() for c in SYMBOLS)
+_DOUBLES = tuple(2 * c.encode() for c in SYMBOLS + "!?")
+# Letters, white space and everything beyond ASCII; what is left are digits and marks.
+_PLAIN = bytes(b for b in range(256) if b > 127 or chr(b).isalpha() or chr(b) in BLANK)
+
+
 class _Numbers(dict):
     def __missing__(self, word):
         value = self[word] = len(self)
@@ -92,6 +103,7 @@ def measure(text: str | None) -> tuple:
     lines = [line for line in text.split("\n") if line.strip(BLANK)]
     seen = _Numbers()
     numbers = np.fromiter(map(seen.__getitem__, words), np.int64, len(words))
+    marks = raw.translate(None, _PLAIN)
     return (
         len(words),
         len(text) - sum(map(text.count, BLANK)),
@@ -103,6 +115,10 @@ def measure(text: str | None) -> tuple:
         raw.count(b"!") + raw.count(b"?"),
         sum(w.endswith((b".", b"!", b"?")) for w in words),
         len(seen),
+        int((numbers[1:] == numbers[:-1]).sum()),
+        sum(w.endswith(_AFFIXES) for w in words),
+        sum(map(raw.count, _DOUBLES)),
+        len(marks),
     )
 
 

@@ -75,6 +75,10 @@ def spans(text: Column, pattern: str, kind: int, least: str | None = None) -> Co
     return F.when(text.rlike(pattern), walked).otherwise(F.array().cast(_SPANS))
 
 
+def _of_kind(kind: int):
+    return lambda s: s["kind"] == kind
+
+
 def _listed(column: str) -> Column:
     """Spans as ``kind:start:end``, comma-joined, by start and then kind."""
     by_start = F.array_sort(F.transform(F.col(column), lambda s: F.struct(s["start"], s["kind"], s["end"])))
@@ -138,9 +142,7 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text
 
 def report(scanned: DataFrame) -> DataFrame:
     """Counts and lists of the spans: n_assign, n_access, n_hex, base_sha256 and spans."""
-    counts = [
-        F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(STRONG)
-    ]
+    counts = [F.size(F.filter("base", _of_kind(i))).cast("long").alias(f"n_{k}") for i, k in enumerate(STRONG)]
     kept = [c for c in scanned.columns if c not in ("base", "found")]
     return scanned.select(
         *kept, *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("found").alias("spans")
