@@ -11,12 +11,16 @@ Cost.  Frequencies need every shingle of every document to move once.  The shing
 block of documents travel sorted and gap-coded, one row per (block, hash range): about 6
 bytes each instead of some 15 as rows.  Only shingles that two documents share travel back.
 
+Candidates form clusters: classes (documents with equal sets are one class) that share a
+prefix shingle, directly or through others.  A cluster of up to ``CLUSTER`` classes is resolved in
+one task, which holds its sets and an inverted index.  Larger clusters, without limit, are
+resolved by joins: within a posting list, members are first compared with one hub; members already
+known to be connected are not compared again, so a group of near copies costs about one
+comparison each; lists that still hold several components are then compared exhaustively across
+components.  Either way no pair of different components is left out.
+
 Hot keys.  A shingle that many documents of a block have leaves the block as one count; the
-documents that have it stay with the block.  Equal sets are one class.  Within a posting
-list, members are first compared with one hub; members already known to be connected are not
-compared again, so a group of near copies costs about one comparison each.  Lists that still
-hold several components are then compared exhaustively across components.  No pair of
-different components is left out.
+documents that have it stay with the block.  Everything else is aggregated or joined.
 
 Edge cases: a missing text, or one without words, has no shingles and links with nothing; a
 text of fewer words than ``width`` is one shingle, the whole sequence.  Rows that repeat, or
@@ -45,6 +49,7 @@ BLOCK_SHINGLES, BLOCK_DOCS = 2_000_000, 60_000
 RANGE_SHINGLES = 1_000_000  # shingles per hash range, about; one task holds one range
 HOT = 64  # members of one shingle within a block, from which only their count leaves it
 DF_MAX = 65_535  # order classes of document frequency end here
+CLUSTER, CLUSTER_SHINGLES = 5_000, 4_000_000  # classes and shingles that one task may resolve
 SHAPE = 16  # parts of the hash space that the suffix filter counts
 HUB_ROUNDS = 8
 
@@ -361,6 +366,87 @@ def _links(classes: DataFrame, num: int, den: int) -> DataFrame:
     return labels
 
 
+def _resolve(table: pa.Table, num: int, den: int) -> pa.Table:
+    """Links within one cluster, as (a, b) with b the smallest class connected with a."""
+    rows = sorted(table.to_pylist(), key=lambda r: r["node"])
+    count = len(rows)
+    n = np.array([r["n"] for r in rows], np.int64)
+    lone = np.array([r["lone"] for r in rows], np.int64)
+    sets = [np.frombuffer(r["shared"], np.uint64) for r in rows]
+    take = n - -(-num * n // den) + 1 - lone
+    shapes = np.stack([np.bincount((x >> np.uint64(44)).astype(np.int64), minlength=SHAPE) for x in sets])
+
+    def index(parts: list[np.ndarray]) -> tuple:
+        """For each shingle of each class, where its members begin and end in ``members``."""
+        owner = np.repeat(np.arange(count), [len(x) for x in parts])
+        place = np.concatenate([np.arange(len(x)) for x in parts])
+        _, number = np.unique(np.concatenate(parts), return_inverse=True)
+        order = np.argsort(number, kind="stable")  # members ascend within a shingle
+        begin = np.searchsorted(number[order], number)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        cut = np.cumsum([0, *map(len, parts)])
+        return owner[order], place[order], begin, rank, cut
+
+    whole, head = index(sets), index([x[:k] for x, k in zip(sets, take)])
+    root = np.arange(count)
+    for a in range(1, count):
+        members, places, begin, rank, cut = head
+        own = range(cut[a], cut[a + 1])
+        # Members before a in the lists of its prefix shingles.
+        slices = [(slice(begin[i], rank[i]), i - cut[a]) for i in own if rank[i] > begin[i]]
+        if not slices:
+            continue
+        b = np.concatenate([members[x] for x, _ in slices])
+        j = np.concatenate([places[x] for x, _ in slices])
+        i = np.repeat([k for _, k in slices], [x.stop - x.start for x, _ in slices])
+        need = -(-num * (n[a] + n[b]) // (num + den))
+        long_enough = den * np.minimum(n[a], n[b]) >= num * np.maximum(n[a], n[b])
+        most = np.minimum(i, j) + 1 + np.minimum(n[a] - lone[a] - i, n[b] - lone[b] - j) - 1
+        b = np.unique(b[long_enough & (most >= need)])
+        b = b[root[b] != root[a]] if len(b) else b
+        if not len(b):
+            continue
+        bound = np.minimum(shapes[a], shapes[b]).sum(axis=1)
+        b = b[bound >= -(-num * (n[a] + n[b]) // (num + den))]
+        if not len(b):
+            continue
+        members, _, begin, rank, cut = whole
+        common = np.concatenate([members[begin[i] : rank[i]] for i in range(cut[a], cut[a + 1])])
+        both = np.bincount(common, minlength=count)[b]
+        linked = b[den * both >= num * (n[a] + n[b] - both)]
+        if len(linked):
+            joined = np.unique(root[np.r_[linked, a]])
+            root[np.isin(root, joined)] = joined[0]
+    moved = np.flatnonzero(root != np.arange(count))
+    nodes = [r["node"] for r in rows]
+    return pa.table(
+        {"a": pa.array([nodes[i] for i in moved], pa.binary()), "b": pa.array([nodes[root[i]] for i in moved], pa.binary())}
+    )
+
+
+def _labels(classes: DataFrame, num: int, den: int) -> DataFrame:
+    """(node, root) of all classes that are connected with others."""
+    postings = classes.select("node", "n", "lone", "shared").mapInArrow(lambda it: _post(it, num, den), _POSTING)
+    postings = durable(postings.select("h", "node"))
+    # Every list as a star around its smallest member: the clusters of candidates.
+    hubs = postings.groupBy("h").agg(F.min("node").alias("b"), F.max("node").alias("last")).where("b != last")
+    stars = postings.join(hubs.select("h", "b"), "h").where("node != b").select(F.col("node").alias("a"), "b").distinct()
+    clusters = components(stars)
+    clusters = durable(clusters.unionByName(clusters.select(F.col("root").alias("node"), "root").distinct()))
+    own = classes.select("node", "n", "lone", "shared", "shape").join(clusters, "node")
+    held = own.select("root", F.octet_length("shared").alias("bytes")).groupBy("root")
+    held = durable(held.agg(F.count("*").alias("k"), (F.sum("bytes") / 8).alias("shingles")))
+    small = (F.col("k") <= CLUSTER) & (F.col("shingles") <= CLUSTER_SHINGLES)
+    fit = own.drop("shape").join(held.where(small).select("root"), "root", "left_semi")
+    edges = durable(fit.groupBy("root").applyInArrow(lambda t: _resolve(t, num, den), "a binary, b binary"))
+    labels = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    if held.where(~small).limit(1).count():
+        large = durable(own.join(held.where(~small).select("root"), "root", "left_semi").drop("root"))
+        labels = labels.unionByName(_links(large, num, den))
+    return labels
+
+
 def near_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, threshold: tuple = THRESHOLD
 ) -> DataFrame:
@@ -381,7 +467,7 @@ def near_groups(
     classes = durable(
         index.dropDuplicates(["node"]).mapInArrow(_shape, "node binary, n long, lone long, shared binary, shape array<int>")
     )
-    labels = _links(classes, num, den)
+    labels = _labels(classes, num, den)
     small = facts.select("doc_id", "n", "key")
     empty = small.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     full = small.where("n > 0").join(labels.withColumnRenamed("node", "key"), "key", "left")
