@@ -7,7 +7,8 @@ were given, extra ones included.
 1. language ID: learned from the rows of the stage whose id is not held out; documents without
    letters, or without a language that stands out, go.
 2. n-gram Jaccard join: the document with the smallest id of each group of near duplicates stays;
-   of rows that share that id one stays.  Documents without words link with nothing and stay.
+   of rows that share that id one stays.  Documents without words link with nothing and stay; rows
+   without an id cannot be told apart and go.
 3. secret scans: every reported span is replaced by a mark; n_chars follows.  No document goes.
 4. mixing: every document occurs as often as the mix takes it, from 0 to 2 times.
 5. byte-level BPE: ids of every text, and digests of ids and decoded bytes.
@@ -20,19 +21,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bpe, language, mixing, near_join, secrets
-from tidemark.llm.queries import HELD_OUT
+from tidemark.llm.queries import held_out
 from tidemark.session import durable
 
 LEAST_LANGUAGE_SCORE = 0.3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = language.learn(docs, ~HELD_OUT)
-    found = language.identify(docs.withColumn("__body", F.col("text")), model, keep=tuple(docs.columns), text="__body")
-    kept = found.where((F.col("lang_pred") != language.UNDETERMINED) & (found["score"] >= LEAST_LANGUAGE_SCORE))
-    return kept.toDF(*[f"c{i}" for i in range(len(kept.columns))]).select(
-        *(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns))
-    )
+    model = language.learn(docs, ~held_out())
+    # Own names for the columns that pass through, whatever they are called.
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    found = language.identify(plain, model, keep=tuple(plain.columns), text=f"c{docs.columns.index('text')}")
+    kept = found.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    return kept.select(plain.columns).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

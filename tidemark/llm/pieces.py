@@ -12,7 +12,7 @@ import re
 from array import array
 from collections.abc import Callable
 
-REMEMBERED = 400_000
+REMEMBERED = 1_200_000  # about 250 MB in a worker
 LONG = 64  # characters; longer pieces are not remembered
 _GENERAL = re.compile(r"\s*\S+|\s+")
 _ODD = re.compile(r"\s ")

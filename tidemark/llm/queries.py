@@ -18,7 +18,11 @@ from tidemark.llm import (
 )
 from tidemark.llm.common import documents
 
-HELD_OUT = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1
+
+def held_out():
+    """The third of the documents, by crc32 of the id as text, that no model learns from."""
+    text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.pmod(F.crc32(text.cast("binary")), F.lit(3)) == 1
 
 
 def op1_quality_rules(spark, sf_dir):
@@ -60,9 +64,9 @@ def op5_secret_scans(spark, sf_dir):
 def op6_quality_classifier(spark, sf_dir):
     """Probability of good quality for every document, learned without the held-out third."""
     docs = documents(spark, sf_dir)
-    weights = quality_model.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~HELD_OUT)
+    weights = quality_model.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~held_out())
     scored = quality_model.score(docs, weights)
-    return scored.select("doc_id", HELD_OUT.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op7_mixing(spark, sf_dir):
@@ -76,8 +80,8 @@ def op7_mixing(spark, sf_dir):
 def op8_language_id(spark, sf_dir):
     """Language of every document, learned without the held-out third."""
     docs = documents(spark, sf_dir)
-    found = language.identify(docs.select(F.col("doc_id").cast("long"), "text"), language.learn(docs, ~HELD_OUT))
-    return found.select("doc_id", HELD_OUT.alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+    found = language.identify(docs.select(F.col("doc_id").cast("long"), "text"), language.learn(docs, ~held_out()))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
 
 
 def op9_token_files(spark, sf_dir):
