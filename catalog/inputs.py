@@ -311,13 +311,13 @@ gated AS (
     ok_performance AND COALESCE(ok_first, TRUE) AND COALESCE(ok_rmse_gain, TRUE) AND COALESCE(ok_r2_gain, TRUE)
       AND ok_rows AND ok_time AND COALESCE(ok_score_gain, TRUE) AS should_deploy,
     CONCAT_WS('; ',
-      CASE WHEN ok_performance THEN 'R2 is high enough' ELSE 'R2 is too low' END,
-      CASE WHEN ok_first THEN 'first model, nothing to compare with' END,
-      CASE ok_rmse_gain WHEN TRUE THEN 'RMSE improved enough' WHEN FALSE THEN 'RMSE gain is limited' END,
-      CASE ok_r2_gain WHEN TRUE THEN 'R2 improved enough' WHEN FALSE THEN 'R2 gain is limited' END,
-      CASE WHEN ok_rows THEN 'enough test rows' ELSE 'too few test rows' END,
-      CASE WHEN ok_time THEN 'training was fast enough' ELSE 'training took too long' END,
-      CASE ok_score_gain WHEN TRUE THEN 'score improved enough' WHEN FALSE THEN 'score gain is limited' END) AS reasons
+      CASE WHEN ok_performance THEN 'performance:met' ELSE 'performance:missed' END,
+      CASE WHEN ok_first THEN 'first:met' END,
+      CASE ok_rmse_gain WHEN TRUE THEN 'rmse_gain:met' WHEN FALSE THEN 'rmse_gain:missed' END,
+      CASE ok_r2_gain WHEN TRUE THEN 'r2_gain:met' WHEN FALSE THEN 'r2_gain:missed' END,
+      CASE WHEN ok_rows THEN 'rows:met' ELSE 'rows:missed' END,
+      CASE WHEN ok_time THEN 'time:met' ELSE 'time:missed' END,
+      CASE ok_score_gain WHEN TRUE THEN 'score_gain:met' WHEN FALSE THEN 'score_gain:missed' END) AS reasons
   FROM checked)"""
 
 DECISIONS = (*RUNS, SCORES, GATED)

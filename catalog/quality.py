@@ -267,23 +267,24 @@ def mape(spark, sf_dir):
 
 @query(
     with_(*I.SERIES, I.PREDICTIONS)
-    + """SELECT series_key, day, ROUND(AVG(ABS(y - yhat)) OVER (PARTITION BY series_key ORDER BY day
-  RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW), 3) AS mae_7d FROM predictions WHERE model = 'mean_7'"""
+    + """SELECT series_key, model, day, ROUND(AVG(ABS(y - yhat)) OVER (PARTITION BY series_key, model ORDER BY day
+  RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW), 4) AS mae_7d FROM predictions"""
 )
 def rolling_error(spark, sf_dir):
     """Logged predictions joined to what was observed, error of the last seven days."""
-    log = durable(I.predictions(spark, sf_dir).where(F.col("model") == "mean_7"))
-    actual, log = log.select(KEY, DAY, "y"), log.select(KEY, DAY, "yhat")
-    out = M.rolling_error(M.join_predictions(actual, log, [KEY, DAY]), key=KEY, day=DAY, y="y", yhat="yhat")
-    return out.select(KEY, DAY, F.round("mae_7d", 3).alias("mae_7d"))
+    log = durable(I.predictions(spark, sf_dir))
+    each = [KEY, "model"]
+    actual, log = log.select(*each, DAY, "y"), log.select(*each, DAY, "yhat")
+    out = M.rolling_error(M.join_predictions(actual, log, [*each, DAY]), key=each, day=DAY, y="y", yhat="yhat")
+    return out.select(*each, DAY, F.round("mae_7d", 4).alias("mae_7d"))
 
 
 @query(
     with_(*I.SERIES, I.PREDICTIONS)
-    + "SELECT series_key, day, yhat, yhat - 0.5 AS lower, yhat + 0.5 AS upper FROM predictions WHERE model = 'naive_1'"
+    + "SELECT series_key, model, day, yhat, yhat - 0.5 AS lower, yhat + 0.5 AS upper FROM predictions"
 )
 def prediction_band(spark, sf_dir):
-    log = I.predictions(spark, sf_dir).where(F.col("model") == "naive_1").select(KEY, DAY, "yhat")
+    log = I.predictions(spark, sf_dir).select(KEY, "model", DAY, "yhat")
     return M.prediction_band(log, "yhat")
 
 
@@ -381,11 +382,11 @@ def performance_gaps(spark, sf_dir):
 @query(
     with_(*I.DECISIONS)
     + """SELECT series_key, run_year, CONCAT_WS(' | ',
-  CASE WHEN avg_r2 >= 0.95 THEN 'excellent: ready for production' WHEN avg_r2 >= 0.9 THEN 'good: deployment recommended'
-    ELSE 'limited: consider more data or features' END,
-  CASE WHEN should_deploy THEN 'deployment approved' ELSE 'deployment on hold: ' || reasons END,
-  CASE WHEN model IN ('naive_1', 'naive_7', 'season_364') THEN 'linear relation: simple and effective'
-    ELSE 'complex model: watch for overfitting' END) AS recommendations FROM gated"""
+  CASE WHEN avg_r2 >= 0.95 THEN 'quality:excellent' WHEN avg_r2 >= 0.9 THEN 'quality:good'
+    ELSE 'quality:limited' END,
+  CASE WHEN should_deploy THEN 'deploy:yes' ELSE 'deploy:no ' || reasons END,
+  CASE WHEN model IN ('naive_1', 'naive_7', 'season_364') THEN 'family:linear'
+    ELSE 'family:trees' END) AS recommendations FROM gated"""
 )
 def recommendations(spark, sf_dir):
     out = S.recommendations(

@@ -94,7 +94,7 @@ def test_gate_compares_with_the_run_before(spark):
     assert [r.should_deploy for r in runs] == [True, True, False, False]
     assert runs[1].ok_rmse_gain and runs[1].ok_r2_gain
     assert not runs[2].ok_rmse_gain
-    assert not runs[3].ok_rows and "too few test rows" in runs[3].reasons
+    assert not runs[3].ok_rows and "rows:missed" in runs[3].reasons
     core = S.deployment_gate(decided.where("run = 3"), require_all=False).first()
     assert core.should_deploy  # performance and row count alone
 
@@ -113,7 +113,7 @@ def test_recommendations(spark):
     best = gated(spark, [(1, *r, 441) for r in PUBLISHED])
     out = S.recommendations(best, ["LinearRegression"], ["RandomForest", "GradientBoosting"]).first()
     assert out.recommendations == [
-        "excellent: ready for production", "deployment approved", "linear relation: simple and effective",
+        "quality:excellent", "deploy:yes", "family:linear",
     ]
 
 
@@ -204,3 +204,31 @@ def test_aliases(spark):
     df = spark.createDataFrame([(None, 3.0)], "`temp (°C)` double, temp double")
     out = X.resolve_aliases(df, {"t": ["temp (°C)", "temp"], "u": ["none"]}).first()
     assert (out.t, out.u) == (0.0, 0.0)  # the first present name wins, its NULL becomes the default
+
+
+@pytest.mark.parametrize("missing", [None, float("nan")])
+def test_a_model_without_metrics_is_never_chosen(spark, missing):
+    rows = [("e", "broken", missing, missing, missing, 1.0), ("e", "sound", 2.0, 0.8, 1.5, 9.0)]
+    results = spark.createDataFrame(rows, "x string, model string, avg_rmse double, avg_r2 double, avg_mae double, training_seconds double")
+    assert S.select_simple(results, ["x"]).first().best_model == "sound"
+    assert S.best_run(results, ["x"], "avg_rmse", "model").first().best_run == "sound"
+    scores = S.composite_scores(results, ["x"])
+    assert S.select_composite(scores, ["x"]).first().model == "sound"
+    ranks = {r.model: (r.rank_rmse, r.rank_r2) for r in S.rank_models(results, ["x"]).collect()}
+    assert ranks == {"sound": (1, 1), "broken": (2, 2)}
+    alone = S.select_composite(S.composite_scores(results.where("model = 'broken'"), ["x"]), ["x"])
+    assert alone.first().model is None
+
+
+@pytest.mark.parametrize("missing", [None, float("nan")])
+@pytest.mark.parametrize("field", ["avg_r2", "test_rows", "training_seconds"])
+def test_the_gate_refuses_what_is_unknown(spark, field, missing):
+    row = {"avg_rmse": 1.0, "avg_r2": 0.9, "test_rows": 500.0, "training_seconds": 10.0, "composite_score": 90.0}
+    row |= {"has_previous": False, "previous_rmse": None, "previous_r2": None, "previous_score": None}
+    schema = ", ".join(f"{k} {'boolean' if k == 'has_previous' else 'double'}" for k in row)
+
+    def gated(r):
+        return S.deployment_gate(spark.createDataFrame([tuple(r.values())], schema), extra=True).first()
+
+    assert gated(row).should_deploy
+    assert not gated(row | {field: missing}).should_deploy

@@ -33,12 +33,19 @@ def insert_absent(
 ) -> DataFrame:
     """Rows to append: the batch's first row per key, where the store has none.
 
-    Stored rows are never changed, so replaying a batch adds nothing.
+    Stored rows are never changed, so replaying a batch adds nothing.  Rows without a key cannot
+    be told from stored ones and are not inserted; ``rows_without_key`` returns them.
     """
+    batch = batch.dropna(subset=list(keys))
     once = keep_first(batch, keys=keys, order=order) if order else batch.dropDuplicates(list(keys))
     return absent_rows(store, once, keys=keys, day=day)
 
 
+def rows_without_key(batch: DataFrame, *, keys: Sequence[str]) -> DataFrame:
+    """Rows of a batch that lack a part of the key, for the caller to report or repair."""
+    return batch.where(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
+
+
 def append_absent(store: DataFrame, batch: DataFrame, **kw: object) -> DataFrame:
     """The store followed by the absent rows of the batch; columns one side lacks are NULL."""
     return store.unionByName(insert_absent(store, batch, **kw), allowMissingColumns=True)

@@ -76,7 +76,7 @@ def pivot_runs(runs: DataFrame, ids: Sequence[str], names: Sequence[str]) -> Dat
     return runs.groupBy(*ids).pivot("metric", list(names)).agg(F.first("value"))
 
 
-def rolling_error(df: DataFrame, *, key: str, day: str, y: str, yhat: str, days: int = 7) -> DataFrame:
+def rolling_error(df: DataFrame, *, key: str | Sequence[str], day: str, y: str, yhat: str, days: int = 7) -> DataFrame:
     """Mean absolute error of the last ``days`` calendar days per series."""
     from pyspark.sql import Window
 

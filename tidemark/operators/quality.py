@@ -62,7 +62,8 @@ def quality_label(prepared: DataFrame) -> DataFrame:
     """Label a prepared data set by its size and its train/test ratio."""
     total = F.col("train_samples") + F.col("test_samples")
     ratio = F.bround(share(F.col("train_samples"), F.nullif("test_samples", F.lit(0))), 2)
-    label = F.when(total < 1000, "Limited").when((ratio < 3) | (ratio > 5), "Fair").otherwise("Good")
+    # Without test rows there is no ratio, and the data set cannot be good.
+    label = F.when(total < 1000, "Limited").when(ratio.between(3, 5), "Good").otherwise("Fair")
     return prepared.withColumns(
         {"total_samples": total, "train_test_ratio": ratio, "data_quality_score": label}
     )

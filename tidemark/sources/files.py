@@ -46,18 +46,27 @@ def parse_payload(
     return nan_to_null(unpack_payload(parsed, F.col(f"_payload.{section}"), measures, ids))
 
 
+def unreadable(df: DataFrame, text: str, *, section: str, measures: Sequence[str], ids: Sequence[str]) -> DataFrame:
+    """Payloads without a readable section: ids and the text, for the caller to count or keep."""
+    parsed = F.from_json(text, payload_schema(section, list(measures)))
+    return df.where(parsed[section]["time"].isNull()).select(*ids, text)
+
+
 def parse_daily(df: DataFrame, text: str, *, ids: Sequence[str], measures: Sequence[str] | None = None) -> DataFrame:
-    """Daily payloads to one row per day; the time text becomes the date column ``day``."""
+    """Daily payloads to one row per day; the time text becomes the date column ``day``.
+
+    A time that is no date gives a row without a day; ``unreadable`` returns payloads without rows.
+    """
     measures = list(measures or [m for m in DAILY_MEASURES if m != "humidity"])
     rows = parse_payload(df, text, section="daily", measures=measures, ids=ids)
-    return rows.select(*ids, F.to_date("time").alias("day"), *measures)
+    return rows.select(*ids, F.col("time").try_cast("date").alias("day"), *measures)
 
 
 def parse_hourly(df: DataFrame, text: str, *, ids: Sequence[str], measures: Sequence[str] | None = None) -> DataFrame:
     """Hourly payloads to one row per reading with the local timestamp ``ts``."""
     measures = list(measures or HOURLY_MEASURES)
     rows = parse_payload(df, text, section="hourly", measures=measures, ids=ids)
-    return rows.select(*ids, F.to_timestamp_ntz("time").alias("ts"), *measures)
+    return rows.select(*ids, F.col("time").try_cast("timestamp_ntz").alias("ts"), *measures)
 
 
 def unpack_metrics(df: DataFrame, text: str, *, ids: Sequence[str]) -> DataFrame:
