@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+import tokenizers
 from hypothesis import given, settings, strategies as st
 
 from tidemark.llm import bpe, common, language, order_minhash, pieces, quality_model, quality_rules, sharding, token_files
@@ -17,6 +18,8 @@ from tidemark.llm import bpe, common, language, order_minhash, pieces, quality_m
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 TEXTS = st.text(alphabet="ab é1.'s \n\t　🙂l", max_size=60)
 
+WHOLE = {}
+
 
 @given(st.lists(st.integers(0, 2**64 - 1), max_size=50))
 def test_packed_integers_come_back(values):
@@ -48,6 +51,16 @@ def test_encoding_equals_the_reference_library(reference, text):
     assert own.decode(ids) == text.encode()
 
 
+@settings(max_examples=300, deadline=None)
+@given(texts=st.lists(st.one_of(st.none(), st.text(st.sampled_from("ab1!' \n\t\x0b\x1c\x85\xa0\u2003\u3000\u00e9\u0558\ua7ce\u6f22"))), max_size=6))
+def test_ids_of_pieces_equal_the_ids_of_whole_texts(texts):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    model = tokenizers.Tokenizer.from_file(path) if path not in WHOLE else WHOLE[path]
+    WHOLE[path] = model
+    found = [np.frombuffer(x, "<i4").tolist() for x in token_files._pieces(path).ids(texts)]
+    assert found == [model.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 def test_long_pieces_are_not_remembered():
     own = bpe.coder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     text = "x" * 5000 + " y"

@@ -73,22 +73,15 @@ class Coder:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise(self.tokens))
         self.pattern = regex.compile(pattern)
         self.table = dict(enumerate(byte_characters()))
-        self.pieces = Pieces(self._encode)
+        self.pieces = Pieces(self.pattern.findall, self._encode)
 
     def _encode(self, pieces: list[str]) -> list[list[int]]:
-        parts = [[p.encode() for p in self.pattern.findall(piece)] for piece in pieces]
+        raw = [p.encode() for p in pieces]
         # A pre-token that is itself a token needs no merges.
-        rest = list(set().union(*parts).difference(self.ranks))
+        rest = [p for p in raw if p not in self.ranks]
         mapped = [p.decode("latin-1").translate(self.table) for p in rest]
         known = dict(zip(rest, self.model.encode(mapped, num_threads=1))) if rest else {}
-        out = []
-        for own in parts:
-            if len(own) == 1:
-                (p,) = own
-                out.append(known[p] if p in known else [self.ranks[p]])
-            else:
-                out.append([i for p in own for i in (known[p] if p in known else [self.ranks[p]])])
-        return out
+        return [known[p] if p in known else [self.ranks[p]] for p in raw]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""

@@ -2,8 +2,11 @@
 
 The pre-token pattern never joins a character with white space that follows it, so a text may
 be cut before any white space that follows something else.  A piece is white space with what
-stands after it.  Pieces repeat, so a worker remembers their ids up to a number of pieces and
-starts afresh beyond it, which changes no result.
+stands after it.  Pieces repeat, and so do the pre-tokens in them, so a worker remembers their ids
+up to a number of entries and starts afresh beyond it, which changes no result.
+
+Nearly all texts have single spaces only; Arrow splits those, numbers their distinct pieces and
+gathers the ids.  Texts with a space at the start or after other white space are cut one by one.
 """
 
 from __future__ import annotations
@@ -12,47 +15,87 @@ import re
 from array import array
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 REMEMBERED = 1_200_000  # about 250 MB in a worker
 LONG = 64  # characters; longer pieces are not remembered
-_GENERAL = re.compile(r"\s*\S+|\s+")
-_ODD = re.compile(r"\s ")
+# The characters with the property White_Space, as the pre-token pattern sees them.
+_BLANK = "\t-\r \x85\xa0  -     　"
+_GENERAL = re.compile(f"[{_BLANK}]*[^{_BLANK}]+|[{_BLANK}]+")
+_BEFORE = [chr(c) + " " for c in range(0x3001) if re.match(f"[{_BLANK}]", chr(c))]
+
+
+def odd(text: str) -> bool:
+    """Whether a space stands at the start of a text or after other white space."""
+    return text[:1] == " " or any(pair in text for pair in _BEFORE)
+
+
+def _strings(coded: pa.DictionaryArray) -> list[str]:
+    return coded.dictionary.to_numpy(zero_copy_only=False).tolist()
 
 
 def cut(text: str) -> list[str]:
     """Consecutive pieces whose concatenation is ``text``."""
-    if not text:
-        return []
-    if text[0] == " " or _ODD.search(text):  # a space after white space or at the start
-        return _GENERAL.findall(text)
-    first, *rest = text.split(" ")
-    return [first, *map(" ".__add__, rest)]
+    return _GENERAL.findall(text)
 
 
 class Pieces(dict):
-    """Little-endian 32-bit ids of each piece; ``encode`` gives the ids of several pieces at once."""
+    """Little-endian 32-bit ids of pieces and pre-tokens.
 
-    def __init__(self, encode: Callable[[list[str]], list]) -> None:
+    ``split`` gives the pre-tokens of a piece, ``encode`` the ids of each of several pre-tokens;
+    without ``split`` it is given whole pieces.
+    """
+
+    def __init__(self, split: Callable[[str], list[str]] | None, encode: Callable[[list[str]], list]) -> None:
         super().__init__()
-        self.encode = encode
+        self.split, self.encode, self.long = split, encode, []
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """The ids of whole texts."""
         if len(self) > REMEMBERED:
             self.clear()
-        parts = [cut(t or "") for t in texts]
-        unknown = list(set().union(*parts).difference(self))
-        long = []
+        out, plain = [b""] * len(texts), []
+        for i, text in enumerate(texts):
+            if text and odd(text):
+                out[i] = b"".join(self._of(cut(text)))
+            elif text:
+                plain.append(i)
+        for i, coded in zip(plain, self._spaced([texts[i] for i in plain])):
+            out[i] = coded
+        for piece in self.long:
+            self.pop(piece, None)
+        self.long = []
+        return out
+
+    def _spaced(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts that can be cut before every space."""
+        words = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        bounds, words = words.offsets.to_numpy(), words.values
+        inner, first = words.dictionary_encode(), words.take(pa.array(bounds[:-1])).dictionary_encode()
+        names = list(map(" ".__add__, _strings(inner)))
+        index = inner.indices.to_numpy().astype(np.int64)
+        index[bounds[:-1]] = len(names) + first.indices.to_numpy()  # nothing stands before the first word
+        coded = pa.array(self._of(names + _strings(first)), pa.large_binary()).take(pa.array(index))
+        _, ends, data = coded.buffers()
+        cuts = np.frombuffer(ends, np.int64, len(index) + 1)[bounds].tolist()
+        data = memoryview(data or b"")
+        return [bytes(data[a:b]) for a, b in zip(cuts, cuts[1:])]
+
+    def _of(self, pieces: list[str]) -> list[bytes]:
+        unknown = list(dict.fromkeys(p for p in pieces if p not in self))
         for start in range(0, len(unknown), 20_000):
             some = unknown[start : start + 20_000]
-            self.update(zip(some, [array("i", ids).tobytes() for ids in self.encode(some)]))
-            long += [p for p in some if len(p) > LONG]
-        out = [b"".join(map(self.__getitem__, own)) for own in parts]
-        for piece in long:
-            del self[piece]
-        return out
+            parts = list(map(self.split, some)) if self.split else []
+            new = list(set().union(*parts).difference(self)) if self.split else some
+            self.update(zip(new, [array("i", ids).tobytes() for ids in self.encode(new)]))
+            self.update(zip(some, [b"".join(map(self.__getitem__, own)) for own in parts]))
+            self.long += [p for p in (*new, *some) if len(p) > LONG]
+        return list(map(self.__getitem__, pieces))
 
 
-def groups(texts: list[str | None], most: int = 2_000_000) -> list[range]:
+def groups(texts: list[str | None], most: int = 6_000_000) -> list[range]:
     """Consecutive rows of about ``most`` characters together, at least one row each."""
     out, start, held = [], 0, 0
     for i, text in enumerate(texts):

@@ -136,7 +136,7 @@ def _pieces(path: str) -> Pieces:
 
     model = Tokenizer.from_file(path)
     model.encode_special_tokens = True  # their names in a text are ordinary text
-    return Pieces(lambda texts: [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)])
+    return Pieces(None, lambda texts: [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)])
 
 
 _FILES = "part int, path string, n_docs long, n_ids long"
