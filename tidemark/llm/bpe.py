@@ -20,6 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import regex
 import sentencepiece
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from sentencepiece import sentencepiece_model_pb2 as proto
 
 from tidemark.llm.common import ship
-from tidemark.llm.pieces import Pieces, groups
+from tidemark.llm.pieces import Pieces, gather, groups
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -119,15 +120,17 @@ def encode(
     return frame.mapInArrow(run, ", ".join([*kinds, "ids array<int>"]))
 
 
-def decode(coded: DataFrame, path: str | None = None, pattern: str | None = None, keep: tuple = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` of ``coded`` and ``decoded``, the bytes that ``ids`` stand for."""
+def decode(coded: DataFrame, path: str | None = None, keep: tuple = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` of ``coded`` and ``decoded``, the bytes that ``ids`` stand for; none for missing ids."""
     ship(coded.sparkSession)
-    path, pattern = path or public_tokenizers.path(VOCABULARY), pattern or public_tokenizers.PATTERN
+    path = path or public_tokenizers.path(VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = coder(path, pattern)
+        tokens = pa.array(read_ranks(path), pa.large_binary())
         for batch in batches:
-            raw = [own.decode(ids.values.tolist() if ids.is_valid else []) for ids in batch.column(len(keep))]
+            ids = batch.column(len(keep))
+            counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy().astype(np.int64)
+            raw = gather(tokens, ids.flatten(), np.cumsum(np.r_[0, counts]))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(raw, pa.binary())], names=[*keep, "decoded"])
 
     frame = coded.select(*keep, "ids")

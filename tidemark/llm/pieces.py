@@ -36,6 +36,15 @@ def _strings(coded: pa.DictionaryArray) -> list[str]:
     return coded.dictionary.to_numpy(zero_copy_only=False).tolist()
 
 
+def gather(values: pa.LargeBinaryArray, index: pa.Array, bounds: np.ndarray) -> list[bytes]:
+    """The values at ``index``, joined between each two of the ``bounds`` (positions in ``index``)."""
+    joined = values.take(index)
+    _, ends, data = joined.buffers()
+    cuts = np.frombuffer(ends, np.int64, len(index) + 1)[bounds].tolist()
+    data = memoryview(data or b"")
+    return [bytes(data[a:b]) for a, b in zip(cuts, cuts[1:])]
+
+
 def cut(text: str) -> list[str]:
     """Consecutive pieces whose concatenation is ``text``."""
     return _GENERAL.findall(text)
@@ -77,11 +86,7 @@ class Pieces(dict):
         names = list(map(" ".__add__, _strings(inner)))
         index = inner.indices.to_numpy().astype(np.int64)
         index[bounds[:-1]] = len(names) + first.indices.to_numpy()  # nothing stands before the first word
-        coded = pa.array(self._of(names + _strings(first)), pa.large_binary()).take(pa.array(index))
-        _, ends, data = coded.buffers()
-        cuts = np.frombuffer(ends, np.int64, len(index) + 1)[bounds].tolist()
-        data = memoryview(data or b"")
-        return [bytes(data[a:b]) for a, b in zip(cuts, cuts[1:])]
+        return gather(pa.array(self._of(names + _strings(first)), pa.large_binary()), pa.array(index), bounds)
 
     def _of(self, pieces: list[str]) -> list[bytes]:
         unknown = list(dict.fromkeys(p for p in pieces if p not in self))
