@@ -10,7 +10,7 @@ from tidemark.operators import quality as Q
 from tidemark.operators import registry as R
 from tidemark.operators import report as P
 from tidemark.operators import selection as S
-from tidemark.operators.features import last_rows, latest_row
+from tidemark.operators.features import latest_row
 from tidemark.operators.ingest import insert_absent
 from tidemark.operators.resample import densify_daily
 from tidemark.operators.split_scale import temporal_split
@@ -216,8 +216,8 @@ def collection_stats(spark, sf_dir):
     + f"""SELECT series_key, day, metric, value FROM (
   SELECT series_key, day, 'max' AS metric, {_even('high', 1)} AS value, r FROM ranked UNION ALL
   SELECT series_key, day, 'min', {_even('low', 1)}, r FROM ranked) t WHERE r <= 30""".replace(
-        "SELECT series_key, day, metric", "SELECT series_key, day, metric", 1
-    ).replace("FROM ranked", "FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY series_key ORDER BY day DESC) AS r FROM daily) ranked")
+        "FROM ranked", "FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY series_key ORDER BY day DESC) AS r FROM daily) ranked"
+    )
 )
 def dashboard_series(spark, sf_dir):
     """The last 30 days of each series for display, as (metric, value) rows."""
@@ -525,8 +525,7 @@ def dashboard_headline(spark, sf_dir):
 )
 def chart_arrays(spark, sf_dir):
     """Equally long arrays of the last 30 days, checked through their ends and their sum."""
-    recent = last_rows(I.daily(spark, sf_dir).select(KEY, DAY, "n_orders"), key=KEY, order=DAY, n=30)
-    packed = P.chart_arrays(recent, key=KEY, day=DAY, columns=["n_orders"])
+    packed = P.chart_arrays(I.daily(spark, sf_dir), key=KEY, day=DAY, columns=["n_orders"], n=30)
     total = F.aggregate("n_orders", F.lit(0).cast("bigint"), lambda a, x: a + x)
     return packed.select(
         KEY,

@@ -14,8 +14,8 @@ EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type st
 
 
 def _stream(spark, sf_dir):
-    """The event table as a stream of files (the pattern fits one file as well as a folder of parts)."""
-    rows = L.read_landed_files(spark, f"{sf_dir}/events*.parquet", EVENT_SCHEMA, format="parquet")
+    """The event table as a stream of files (the pattern is this one name, a file or a folder of parts)."""
+    rows = L.read_landed_files(spark, f"{sf_dir}/{{events.parquet}}", EVENT_SCHEMA, format="parquet")
     return rows.select(
         F.col("event_type").alias(KEY),
         F.col("ts").cast("timestamp").alias("ts"),

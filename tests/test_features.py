@@ -1,3 +1,4 @@
+import datetime
 import math
 
 import numpy as np
@@ -170,6 +171,18 @@ def test_scenario_features_equal_appending_to_history(spark, series):
     assert len(a) == 2 and np.allclose(a, b)
 
 
+def test_scenarios_take_the_days_before_their_first_one(spark, series):
+    history = series({"a": range(60)})
+    days = [("a", datetime.date(2023, 1, 1), 9.0, "at the start"), ("a", datetime.date(2023, 2, 10), 9.0, "within")]
+    scenarios = spark.createDataFrame(days, "series_key string, day date, value double, scenario_id string")
+    joined = with_scenarios(history, scenarios, key="series_key").where("not is_scenario")
+    taken = {r.scenario_id: (r.n, r.a, r.b) for r in joined.groupBy("scenario_id").agg(
+        F.count("*").alias("n"), F.min("value").alias("a"), F.max("value").alias("b")).collect()}
+    assert taken == {"within": (W.feature_reach(), 10.0, 39.0)} and W.feature_reach() == 30
+    with pytest.raises(ValueError):
+        with_scenarios(history, scenarios, key="series_key", reach=W.feature_reach() - 1)
+
+
 @pytest.mark.parametrize("split", [temporal_split, temporal_split_raw])
 def test_temporal_split(spark, series, split):
     df = series({"a": range(10), "b": range(7), "c": [1]}).withColumn("day", F.col("day").cast("timestamp"))

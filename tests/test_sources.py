@@ -130,6 +130,17 @@ def test_shared_folder_comes_from_the_session(spark):
     assert written and all(shared_folder(spark).removeprefix("file:").rstrip("/") in f for f in written)
 
 
+def test_appending_and_ranges_read_only_the_years_they_touch(spark, series):
+    path = work_path(spark, "test-touched")
+    store.write_observations(series({"a": range(800)}), path)
+    part = store.touched_part(spark.read.parquet(path), series({"a": [1]}, first="2024-02-01"))
+    assert "PartitionFilters: [isnotnull(year" in part._jdf.queryExecution().toString()
+    assert part.count() == 366
+    days = store.stored_days(spark, path, first="2024-03-01", last="2024-03-31")
+    assert "PartitionFilters: [isnotnull(year" in days._jdf.queryExecution().toString()
+    assert days.count() == 31
+
+
 def test_writes_are_pruned_by_year(spark, series):
     path = work_path(spark, "test-years")
     store.write_observations(series({"a": range(800)}), path)

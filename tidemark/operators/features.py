@@ -26,6 +26,12 @@ SUMS = (7, 30)
 WIND_MEAN = 7
 
 
+def feature_reach() -> int:
+    """Earlier rows that determine the features of a row: the longest of all lags and windows."""
+    sizes = (*MEANS, TREND, VOLATILITY, *SUMS, WIND_MEAN)
+    return max(*LAGS, *DIFFERENCES, *(n - 1 for n in sizes))
+
+
 def frame_of(window: WindowSpec, size: int, frame: str = "rows") -> WindowSpec:
     if frame == "rows":
         return rows_back(window, size)

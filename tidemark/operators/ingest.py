@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .clean import keep_last
+from .features import feature_reach
 
 
 def keep_first(df: DataFrame, *, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -20,8 +21,8 @@ def keep_first(df: DataFrame, *, keys: Sequence[str], order: Sequence[str]) -> D
 def absent_rows(store: DataFrame, batch: DataFrame, *, keys: Sequence[str], day: str = "day") -> DataFrame:
     """Batch rows whose key is not stored yet.
 
-    The store's keys are first restricted to the days that occur in the batch, so a large
-    history takes part only with the partitions a daily batch can touch.
+    The store's keys are first restricted to the days that occur in the batch.  Which partitions
+    of a stored table are read is decided by whoever reads it (``store.touched_part``).
     """
     days = batch.select(day).distinct()
     stored = store.select(*keys).join(days, day, "left_semi")
@@ -91,18 +92,32 @@ def with_scenarios(
     key: str,
     day: str = "day",
     scenario: str = "scenario_id",
-    reach: int = 31,
+    reach: int | None = None,
 ) -> DataFrame:
     """For every scenario the end of its series' history plus the scenario's own rows.
 
-    A feature looks back at most 30 rows, so the last ``reach`` stored days before a
-    hypothetical row determine its features exactly; only those days are repeated per scenario.
+    The last ``reach`` stored days before a hypothetical row determine its features exactly; by
+    default that is the longest look-back of all features, and less is refused.  Stored days and
+    first scenario days of a series are numbered in one pass, so a scenario is joined to the
+    ``reach`` days it needs by their numbers and never to the whole history.
     Scoring then picks rows by scenario and day, not by "last row".
     """
+    needed = feature_reach()
+    reach = needed if reach is None else reach
+    if reach < needed:
+        raise ValueError(f"features look back {needed} rows, reach is {reach}")
     first = scenarios.groupBy(key, scenario).agg(F.min(day).alias("_first"))
-    earlier = history.join(first, key).where(F.col(day) < F.col("_first")).drop("_first")
-    newest = Window.partitionBy(key, scenario).orderBy(F.desc(day))
-    base = earlier.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= reach).drop("_rank")
+    by_day = Window.partitionBy(key).orderBy(day)
+    numbered = history.where(F.col(day).isNotNull()).withColumn("_row", F.row_number().over(by_day))
+    marks = first.select(key, F.col("_first").alias(day), F.lit(0).alias("_stored")).distinct()
+    both = numbered.select(key, day, F.lit(1).alias("_stored")).unionByName(marks)
+    # A mark stands before the stored row of its own day: only earlier days count.
+    upto = Window.partitionBy(key).orderBy(day, "_stored").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = both.withColumn("_last", F.sum("_stored").over(upto)).where("_stored = 0 and _last > 0")
+    wanted = first.join(placed.select(key, F.col(day).alias("_first"), "_last"), [key, "_first"])
+    last = F.col("_last").cast("int")
+    wanted = wanted.select(key, scenario, F.explode(F.sequence(F.greatest(last - (reach - 1), F.lit(1)), last)).alias("_row"))
+    base = numbered.join(wanted, [key, "_row"]).select(*history.columns, scenario)
     return base.withColumn("is_scenario", F.lit(False)).unionByName(
         scenarios.withColumn("is_scenario", F.lit(True)), allowMissingColumns=True
     )

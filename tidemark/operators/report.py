@@ -42,10 +42,10 @@ def append_today(series: DataFrame, today: DataFrame, *, keys: Sequence[str], da
     return series.unionByName(absent_rows(series, today, keys=keys, day=day), allowMissingColumns=True)
 
 
-def chart_arrays(series: DataFrame, *, key: str, day: str, columns: Sequence[str]) -> DataFrame:
-    """One row per series with equally long arrays, for a display series of bounded length."""
+def chart_arrays(series: DataFrame, *, key: str, day: str, columns: Sequence[str], n: int = 30) -> DataFrame:
+    """One row per series with equally long arrays of its last ``n`` rows."""
     points = F.array_sort(F.collect_list(F.struct(day, *columns)))
-    packed = series.groupBy(key).agg(points.alias("_points"))
+    packed = last_rows(series, key=key, order=day, n=n).groupBy(key).agg(points.alias("_points"))
     return packed.select(key, *[F.col(f"_points.{c}").alias(c) for c in [day, *columns]])
 
 
@@ -115,9 +115,16 @@ def headline(latest: DataFrame, predictions: DataFrame, *, key: str, columns: Se
     return latest.join(named, key, "left").withColumns(filled)
 
 
-def history_range(df: DataFrame, *, day: str, first: str, last: str) -> DataFrame:
-    """Days first..last; the comparison reaches the scan and prunes partitions."""
-    return df.where(F.col(day).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+def history_range(df: DataFrame, *, day: str, first: str, last: str, year: str | None = None) -> DataFrame:
+    """Days first..last; the comparison reaches the scan.
+
+    ``year`` names the partition column of a store by year; partitions outside are then not read.
+    """
+    low, high = F.lit(first).cast("date"), F.lit(last).cast("date")
+    inside = F.col(day).between(low, high)
+    if year:
+        inside = inside & F.col(year).between(F.year(low), F.year(high))
+    return df.where(inside)
 
 
 def retention_split(df: DataFrame, *, day: str, as_of: Column, keep_days: int, archive_days: int) -> DataFrame:

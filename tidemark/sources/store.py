@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.ingest import insert_absent
+from ..operators.report import history_range
 
 YEAR = "year"
 
@@ -54,6 +55,20 @@ def bootstrap_history(spark: SparkSession, path: str, history: DataFrame, *, day
     return True
 
 
+def touched_part(store: DataFrame, batch: DataFrame, *, day: str = "day") -> DataFrame:
+    """The stored years that a batch has days in; other partitions are not read.
+
+    Only the distinct years reach the driver, one number per calendar year.
+    """
+    years = [r[0] for r in batch.select(F.year(day)).distinct().collect() if r[0] is not None]
+    return store.where(F.col(YEAR).isin(years))
+
+
+def stored_days(spark: SparkSession, path: str, *, first: str, last: str, day: str = "day") -> DataFrame:
+    """The stored days first..last, from the partitions of their years only."""
+    return history_range(spark.read.parquet(path), day=day, first=first, last=last, year=YEAR)
+
+
 def append_new_days(
     spark: SparkSession,
     path: str,
@@ -68,7 +83,7 @@ def append_new_days(
     if store is None:
         new = insert_absent(batch.limit(0), batch, keys=keys, day=day, order=order)
     else:
-        new = insert_absent(store, batch, keys=keys, day=day, order=order)
+        new = insert_absent(touched_part(store, batch, day=day), batch, keys=keys, day=day, order=order)
     write_observations(new, path, day=day)
 
 
