@@ -89,7 +89,7 @@ STEPS = """counted AS (
   FROM labelled WHERE value IS NOT NULL GROUP BY 1, 2),
 steps AS (
   SELECT series_key, value, LEAD(value) OVER o AS next_value, SUM(b) OVER o::DOUBLE / SUM(b) OVER k AS base_share,
-    SUM(r) OVER o::DOUBLE / SUM(r) OVER k AS recent_share
+    SUM(r) OVER o::DOUBLE / SUM(r) OVER k AS recent_share, LEAST(SUM(b) OVER k, SUM(r) OVER k) AS fewest
   FROM counted WINDOW o AS (PARTITION BY series_key ORDER BY value), k AS (PARTITION BY series_key))"""
 
 
@@ -100,12 +100,12 @@ def _steps(spark, sf_dir):
 @query(
     with_(I.READINGS, LABELLED, STEPS)
     + """SELECT series_key, ROUND(MAX(ABS(base_share - recent_share)), 8) AS ks,
-  MAX(ABS(base_share - recent_share)) > 0.15 AS drifted FROM steps GROUP BY 1"""
+  CASE WHEN MIN(fewest) >= 100 THEN MAX(ABS(base_share - recent_share)) > 0.15 END AS drifted FROM steps GROUP BY 1"""
 )
 def drift_ks(spark, sf_dir):
     scored = X.kolmogorov_smirnov(_steps(spark, sf_dir), key=KEY)
     judged = X.drift_verdict(scored, "ks", threshold=X.THRESHOLDS["kolmogorov_smirnov"])
-    return judged.withColumn("ks", F.round("ks", 8))
+    return judged.select(KEY, F.round("ks", 8).alias("ks"), "drifted")
 
 
 @query(
@@ -120,16 +120,19 @@ def drift_wasserstein(spark, sf_dir):
 
 @query(
     with_(I.READINGS, LABELLED, BINNED, STEPS)
-    + """, verdicts AS (
-  SELECT series_key, MAX(ABS(base_share - recent_share)) > 0.15 AS drifted FROM steps GROUP BY 1
-  UNION ALL SELECT series_key, SUM(ABS(base_share - recent_share) * (next_value - value)) > 0.2 FROM steps GROUP BY 1
-  UNION ALL SELECT series_key,
+    + """, judged AS (
+  SELECT series_key, MIN(fewest) AS fewest, MAX(ABS(base_share - recent_share)) > 0.15 AS over FROM steps GROUP BY 1
+  UNION ALL SELECT series_key, MIN(fewest), SUM(ABS(base_share - recent_share) * (next_value - value)) > 0.2 FROM steps GROUP BY 1
+  UNION ALL SELECT series_key, LEAST(SUM(n_base), SUM(n_recent)),
     SUM((GREATEST(q, 0.0001) - GREATEST(p, 0.0001)) * LN(GREATEST(q, 0.0001) / GREATEST(p, 0.0001))) > 0.1 FROM shares GROUP BY 1
-  UNION ALL SELECT series_key, SUM(
+  UNION ALL SELECT series_key, LEAST(SUM(n_base), SUM(n_recent)), SUM(
     CASE WHEN p > 0 THEN p * LOG2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * LOG2(q / ((p + q) / 2)) ELSE 0 END) / 2 > 0.15
-  FROM shares GROUP BY 1)
-SELECT series_key, COUNT(drifted) AS n_verdicts, COUNT(*) FILTER (WHERE drifted)::DOUBLE / COUNT(drifted) AS drift_share,
-  COUNT(*) FILTER (WHERE drifted)::DOUBLE / COUNT(drifted) > 0.3 AS overall_drift FROM verdicts GROUP BY 1"""
+  FROM shares GROUP BY 1),
+verdicts AS (SELECT series_key, CASE WHEN fewest >= 100 THEN over END AS drifted FROM judged),
+counted_verdicts AS (
+  SELECT series_key, COUNT(drifted) AS n_verdicts, COUNT(*) FILTER (WHERE drifted)::DOUBLE / NULLIF(COUNT(drifted), 0) AS drift_share
+  FROM verdicts GROUP BY 1)
+SELECT *, COALESCE(drift_share > 0.3, FALSE) AS overall_drift FROM counted_verdicts"""
 )
 def drift_overall(spark, sf_dir):
     """Four statistics of every series judged together."""

@@ -92,7 +92,11 @@ def js_divergence(counts: DataFrame, *, key: str) -> DataFrame:
     def against_mix(c: str) -> Column:
         return F.when(F.col(c) > 0, F.col(c) * F.log2(F.col(c) / F.nullif(mix, F.lit(0.0)))).otherwise(0.0)
 
-    return _shares(counts, key).groupBy(key).agg((F.sum(against_mix("p") + against_mix("q")) / 2).alias("js_divergence"))
+    return _shares(counts, key).groupBy(key).agg(
+        (F.sum(against_mix("p") + against_mix("q")) / 2).alias("js_divergence"),
+        F.sum("n_base").alias("n_base"),
+        F.sum("n_recent").alias("n_recent"),
+    )
 
 
 def chi_square(df: DataFrame, *, key: str, category: str, recent: str) -> DataFrame:
@@ -113,7 +117,7 @@ def chi_square(df: DataFrame, *, key: str, category: str, recent: str) -> DataFr
 
 
 def cumulative_shares(df: DataFrame, *, key: str, value: str, recent: str) -> DataFrame:
-    """Both empirical distribution functions at every distinct value, and the next value."""
+    """Both empirical distribution functions at every distinct value, the next value and the sample sizes."""
     counts = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(*_sides(recent))
     steps = running_totals(
         counts,
@@ -129,22 +133,31 @@ def cumulative_shares(df: DataFrame, *, key: str, value: str, recent: str) -> Da
         "next_value",
         F.try_divide(F.col("_base").cast("double"), F.col("_all_base")).alias("base_share"),
         F.try_divide(F.col("_recent").cast("double"), F.col("_all_recent")).alias("recent_share"),
+        F.col("_all_base").alias("n_base"),
+        F.col("_all_recent").alias("n_recent"),
     )
 
 
+def _sizes() -> list[Column]:
+    return [F.max(n).alias(n) for n in ("n_base", "n_recent")]
+
+
 def kolmogorov_smirnov(shares: DataFrame, *, key: str) -> DataFrame:
     """Largest distance of the two distribution functions."""
-    return shares.groupBy(key).agg(F.max(F.abs(F.col("base_share") - F.col("recent_share"))).alias("ks"))
+    gap = F.abs(F.col("base_share") - F.col("recent_share"))
+    return shares.groupBy(key).agg(F.max(gap).alias("ks"), *_sizes())
 
 
 def wasserstein(shares: DataFrame, *, key: str, value: str) -> DataFrame:
     """Area between the two distribution functions."""
     gap = F.abs(F.col("base_share") - F.col("recent_share")) * (F.col("next_value") - F.col(value))
-    return shares.groupBy(key).agg(F.sum(gap).alias("wasserstein"))
+    return shares.groupBy(key).agg(F.sum(gap).alias("wasserstein"), *_sizes())
 
 
-def drift_verdict(scored: DataFrame, statistic: str, *, threshold: float, enough: Sequence[str] = ()) -> DataFrame:
-    """Flag drift above the threshold; with too few samples there is no verdict."""
+def drift_verdict(
+    scored: DataFrame, statistic: str, *, threshold: float, enough: Sequence[str] = ("n_base", "n_recent")
+) -> DataFrame:
+    """Flag drift above the threshold; with too few samples on either side there is no verdict."""
     verdict = F.col(statistic) > threshold
     for n in enough:
         verdict = F.when(F.col(n) >= MIN_SAMPLES, verdict)
