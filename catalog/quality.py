@@ -298,17 +298,22 @@ def clean_metric_names(spark, sf_dir):
     return I.read(spark, sf_dir, "orders").select(clean_metric_name(raw).alias("metric")).distinct()
 
 
+# Every year in which the order table has orders.
+RUN_YEARS = range(1995, 2002)
+
+
 @query(
     with_(*I.RUNS)
-    + """SELECT series_key, model, MAX(CASE WHEN run_year = 1999 THEN avg_rmse END) AS rmse_1999,
-  MAX(CASE WHEN run_year = 2000 THEN avg_rmse END) AS rmse_2000 FROM results GROUP BY 1, 2"""
+    + "SELECT series_key, model, "
+    + ", ".join(f"MAX(CASE WHEN run_year = {y} THEN avg_rmse END) AS rmse_{y}" for y in RUN_YEARS)
+    + " FROM results GROUP BY 1, 2"
 )
 def metrics_pivot(spark, sf_dir):
     """Model metrics over time, one column per year."""
     runs = I.results(spark, sf_dir).select(
         KEY, "model", F.format_string("rmse_%d", "run_year").alias("metric"), F.col("avg_rmse").alias("value")
     )
-    return M.pivot_runs(runs, [KEY, "model"], ["rmse_1999", "rmse_2000"])
+    return M.pivot_runs(runs, [KEY, "model"], [f"rmse_{y}" for y in RUN_YEARS])
 
 
 @query(
