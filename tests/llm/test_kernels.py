@@ -13,7 +13,7 @@ import tiktoken
 import tokenizers
 from hypothesis import given, settings, strategies as st
 
-from tidemark.llm import bpe, common, language, order_minhash, pieces, quality_model, quality_rules, sharding, token_files
+from tidemark.llm import bpe, common, language, near_join, order_minhash, pieces, quality_model, quality_rules, sharding, token_files
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 TEXTS = st.text(alphabet="ab é1.'s \n\t　🙂l", max_size=60)
@@ -68,6 +68,15 @@ def test_long_pieces_are_not_remembered():
     assert max(map(len, own.pieces)) <= pieces.LONG
 
 
+def test_facts_and_hot_members_of_two_blocks_never_meet():
+    same = [np.arange(3, dtype=np.uint64)] * (near_join.HOT + 1)
+    keys = [bytes([i]) * 16 for i in range(len(same))]
+    blocks = [task << 32 | place for task in range(50) for place in range(3)]
+    found = [near_join._block(n, [None] * len(same), same, keys, 2).to_pylist() for n in blocks]
+    own = [{r["key"] for r in rows if r["kind"] in (near_join._FACTS, near_join._MEMBERS)} for rows in found]
+    assert all(len(k) == 1 and max(k) < 0 for k in own) and len(set.union(*own)) == len(blocks)
+
+
 @given(st.lists(st.sampled_from(["a", "b", "c"]), max_size=30))
 def test_repeated_words(words):
     windows = collections.Counter(zip(words, words[1:], words[2:]))

@@ -91,10 +91,11 @@ def _block(number: int, ids: list, sets: list[np.ndarray], keys: list[bytes], ra
     numbers = np.array([0 if i is None else i for i in ids], np.int64)
     missing = np.array([i is None for i in ids], np.uint8)
     sizes = np.array([len(s) for s in sets], np.uint32)
-    rows = [(-1 - number % 4096, number, _FACTS, numbers.tobytes(), missing.tobytes(), sizes.tobytes(), b"".join(keys))]
+    # A key of its own for every block: what stays with the block meets no other block.
+    rows = [(-1 - number, number, _FACTS, numbers.tobytes(), missing.tobytes(), sizes.tobytes(), b"".join(keys))]
     if hot.any():
         rows.append(
-            (-1 - number % 4096, number, _MEMBERS, pack_sorted(distinct[hot]), count[hot].astype("<u4").tobytes(),
+            (-1 - number, number, _MEMBERS, pack_sorted(distinct[hot]), count[hot].astype("<u4").tobytes(),
              members[is_hot].tobytes(), b"")
         )
 
@@ -135,9 +136,9 @@ def _speak(batches: Iterator[pa.RecordBatch], width: int, ranges: int) -> Iterat
 
 def _count(table: pa.Table) -> pa.Table:
     """Document frequencies of one hash range; returns to each block what others have as well."""
-    rows = table.to_pylist()
-    if rows[0]["key"] < 0:
+    if table["key"][0].as_py() < 0:
         return table
+    rows = table.to_pylist()
     hashes, members, counts, row = [], [], [], []
     for i, r in enumerate(rows):
         plain, hot = unpack_sorted(r["a"]), unpack_sorted(r["c"])
