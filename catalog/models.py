@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import training as T
+from tidemark.operators.clean import interpolate_linear
 from tidemark.operators.features import feature_matrix
+from tidemark.operators.resample import densify_daily
 from tidemark.operators.selection import top_importances
 from tidemark.operators.split_scale import temporal_split, time_folds
 from tidemark.plans.lifecycle import train_run
+from tidemark.schema import FEATURES
 from tidemark.session import durable, work_path
 
 from . import inputs as I
@@ -16,16 +19,15 @@ from .register import query, with_
 
 KEY, DAY = "series_key", "day"
 D = "double"
-FEATURES = ["f_month_sin", "f_month_cos", "f_day_of_year", "f_lag_1", "f_lag_7", "f_ma_7", "f_ma_30", "f_diff_1"]
-TARGETS = ["value_ahead"]
-
-# Small settings: the defaults of the library are sized for real training.
-PARAMS = {"RandomForest": {"numTrees": 10, "maxDepth": 5}, "GradientBoosting": {"maxIter": 5, "maxDepth": 3}}
+MEASURES = ["value", "high", "low"]
+TARGETS = [f"{m}_ahead" for m in MEASURES]
 
 
 def _training_rows(spark, sf_dir):
-    """Features of a day with the next day's value as label: no leak."""
-    rows = feature_matrix(I.filled(spark, sf_dir), key=KEY, day=DAY, value="value", horizon=1, targets=["value"])
+    """Features of a day with the next day's measures as labels: no leak."""
+    dense = densify_daily(I.daily(spark, sf_dir).select(KEY, DAY, *MEASURES), key=KEY)
+    whole = interpolate_linear(dense, key=KEY, order=[DAY], columns=MEASURES)
+    rows = feature_matrix(whole, key=KEY, day=DAY, value="value", horizon=1, targets=MEASURES)
     wide = rows.select(KEY, DAY, *[F.col(c).cast(D).alias(c) for c in [*FEATURES, *TARGETS]])
     return temporal_split(wide, key=KEY, order=[DAY])
 
@@ -47,17 +49,15 @@ def univariate_ols(spark, sf_dir):
 def train_compare(spark, sf_dir):
     """Three families fitted, measured and scored against each other."""
     rows = _training_rows(spark, sf_dir)
-    _, _, scores = train_run(rows, experiment={"run": 1}, features=FEATURES, targets=TARGETS, params=PARAMS)
+    _, _, scores = train_run(rows, experiment={"run": 1}, features=FEATURES, targets=TARGETS)
     return scores
 
 
 @query()
 def topk_importance(spark, sf_dir):
-    """The five most important features of the forest."""
+    """The five most important features of the forest of each target."""
     train = _training_rows(spark, sf_dir).where(F.col("split") == "train").cache()
-    model = T.fit_models(
-        train, family="RandomForest", features=FEATURES, targets=TARGETS, params=PARAMS["RandomForest"]
-    )
+    model = T.fit_models(train, family="RandomForest", features=FEATURES, targets=TARGETS)
     train.unpersist()
     weights = T.importances({"RandomForest": model}, spark, features=FEATURES, targets=TARGETS)
     return top_importances(weights, ["model", "target"], k=5)
@@ -75,22 +75,15 @@ def batch_scoring(spark, sf_dir):
     pairs = [x for f in FEATURES for x in (F.lit(f), F.col(f))]
     requests = rows.where(F.col("split") == "test").select(KEY, DAY, F.create_map(*pairs).alias("features_map"))
     scored = T.score_maps(T.load_pipeline(path), requests, features=FEATURES, targets=TARGETS)
-    return scored.select(KEY, DAY, F.col("predictions")["value_ahead"].alias("prediction"))
+    return scored.select(KEY, DAY, *[F.col("predictions")[t].alias(f"{t}_hat") for t in TARGETS])
 
 
 @query()
 def tune_forest(spark, sf_dir):
-    """Two random-search trials, scored on the last fifth of the training rows."""
+    """The library's random search, scored on the last fifth of the training rows."""
     train = _training_rows(spark, sf_dir).where(F.col("split") == "train").drop("split")
     tail = temporal_split(train, key=KEY, order=[DAY]).withColumn("is_tail", F.col("split") == "test").drop("split")
-    _, outcomes = T.tune_forest(
-        tail,
-        features=FEATURES,
-        targets=TARGETS,
-        valid=F.col("is_tail"),
-        trials=2,
-        ranges={"numTrees": (5, 10), "maxDepth": (3, 5), "minInstancesPerNode": (1, 10)},
-    )
+    _, outcomes = T.tune_forest(tail, features=FEATURES, targets=TARGETS, valid=F.col("is_tail"))
     return spark.createDataFrame([(i, str(s), e) for i, (s, e) in enumerate(outcomes)], "trial int, setting string, pooled_rmse double")
 
 

@@ -216,3 +216,21 @@ def test_stream_scoring_equals_batch(spark, run, rows):
     L.write_stream(L.score_stream(model, stream, ["value_ahead"]), f"{target}/data", f"{target}/c").awaitTermination()
     streamed = spark.read.parquet(f"{target}/data").select("day", "value_ahead_hat")
     assert streamed.exceptAll(T.score(model, kept, ["value_ahead"]).select("day", "value_ahead_hat")).count() == 0
+
+
+def test_model_queries_leave_nothing_out(spark, monkeypatch):
+    """All features and targets, the library's own settings; the fits themselves are replaced."""
+    from catalog import models
+    from tidemark.schema import FEATURES
+
+    asked = []
+    monkeypatch.setattr(models, "train_run", lambda rows, **k: (None, None, asked.append(k)))
+    monkeypatch.setattr(models.T, "tune_forest", lambda rows, **k: (None, asked.append(k) or []))
+    models.train_compare(spark, "/root/testdata/sf0.001")
+    models.tune_forest(spark, "/root/testdata/sf0.001")
+    for k in asked:
+        assert list(k["features"]) == FEATURES and list(k["targets"]) == ["value_ahead", "high_ahead", "low_ahead"]
+        assert not {"params", "trials", "ranges"} & set(k)
+    scored = models.batch_scoring(spark, "/root/testdata/sf0.001")
+    assert scored.columns == ["series_key", "day", "value_ahead_hat", "high_ahead_hat", "low_ahead_hat"]
+    assert scored.dropna().count() == scored.count() > 0
