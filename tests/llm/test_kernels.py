@@ -126,6 +126,11 @@ def test_the_short_way_is_as_good_as_every_path(rows):
     assert value(language.viterbi(scores, switch)) == pytest.approx(best)
 
 
+def test_a_path_without_the_best_single_language_is_found():
+    scores = np.array([[0.0, -20, -9], [-20, 0, -9]])  # all of the third: -18; the first, then the second: -15
+    assert language.path_of(scores, 15.0).tolist() == [0, 1] == language.viterbi(scores, 15.0).tolist()
+
+
 def test_words_know_place_and_script():
     words = language.words_of(["Ab1 é", None, "мир"])
     assert list(zip(words.text, words.begin - words.starts[words.text], words.end - words.starts[words.text])) == [

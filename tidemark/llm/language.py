@@ -10,8 +10,8 @@ of the document.
 Learning counts n-grams by (language, bucket), added up within a task before they move, so what
 is shuffled and collected is bounded by languages times buckets, whatever the corpus.  Every
 training row counts.  Labelling is one pass without a shuffle.  Most texts are of one language
-throughout: if no stretch of words prefers another language by more than one switch costs, the
-constant path is optimal and Viterbi need not run; the result is the same.
+throughout: if the greatest gains that any two other languages have over it on stretches of words
+stay below one switch cost together, the constant path is optimal and Viterbi need not run.
 
 Edge cases: a text that is missing or has no letter is ``und`` with score 0; without any training
 row every text is ``und``; rows that repeat get the same label; a missing id stays missing; an
@@ -199,12 +199,17 @@ def viterbi(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
 
 
 def path_of(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
-    """As ``viterbi``; the constant path at once where no stretch of words can pay for a change."""
+    """As ``viterbi``; the constant path at once where no stretches of words can pay for changes.
+
+    A path of k stretches in other languages pays k - 1 changes at least, as it may never use the best
+    one; neighbours differ, so two languages that gain less than one change together never pay.
+    """
     total = scores.sum(axis=0)
     best = int(total.argmax())
     gain = np.cumsum(scores - scores[:, best : best + 1], axis=0)
     low = np.minimum.accumulate(np.vstack([np.zeros(len(total)), gain]), axis=0)[:-1]
-    if (gain - low).max() <= switch:
+    most = np.sort((gain - low).max(axis=0))  # by language; 0 for the best one
+    if most[-2:].sum() < switch:
         return np.full(len(scores), best, np.int32)
     return viterbi(scores, switch)
 
