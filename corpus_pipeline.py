@@ -6,9 +6,9 @@ were given, extra ones included.
 
 1. language ID: learned from the rows of the stage whose id is not held out; documents without
    letters, or without a language that stands out, go.
-2. n-gram Jaccard join: the document with the smallest id of each group of near duplicates stays;
-   of rows that share that id one stays.  Documents without words link with nothing and stay; rows
-   without an id cannot be told apart and go.
+2. n-gram Jaccard join: of each group of near duplicates the document with the smallest id stays, a
+   missing id last; rows of the same id and text are one document, rows that share an id alone or
+   have none are told apart by their texts.  Documents without words link with nothing and stay.
 3. secret scans: every reported span is replaced by a mark; n_chars follows.  No document goes.
 4. mixing: every document occurs as often as the mix takes it, from 0 to 2 times.
 5. byte-level BPE: ids of every text, and digests of ids and decoded bytes.
@@ -18,9 +18,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.llm import bpe, language, mixing, near_join, secrets
+from tidemark.llm.common import WORD, row_key
 from tidemark.llm.queries import held_out
 from tidemark.session import durable
 
@@ -37,17 +38,20 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = near_join.near_groups(docs)
-    stay = durable(groups.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct())
-    return docs.join(stay, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
+    rows = docs.withColumn("__row", row_key("doc_id", "text"))
+    stay = durable(near_join.survivors(rows, F.col("__row")).select(F.col("mark").alias("__row")))
+    wordy = F.coalesce(F.col("text").cast("string").rlike(WORD), F.lit(False))
+    kept = rows.where(wordy).join(stay, "__row", "left_semi").dropDuplicates(["__row"])
+    return kept.unionByName(rows.where(~wordy)).select(docs.columns)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scanned = secrets.scan(docs.select("doc_id", "text"))
-    found = durable(scanned.where(F.size("found") > 0).select(F.col("doc_id").alias("__id"), "found"))
+    rows = docs.withColumn("__row", row_key("doc_id", "text"))
+    scanned = secrets.scan(rows, keep=("__row",))
+    # Rows of one key have one text, and so the same spans.
+    found = durable(scanned.where(F.size("found") > 0).dropDuplicates(["__row"]).select("__row", F.col("found").alias("__found")))
     spans = F.coalesce("__found", F.expr("cast(array() as array<struct<start:int,end:int,kind:int>>)"))
-    named = found.withColumnRenamed("found", "__found")
-    joined = docs.join(named, F.col("doc_id") == F.col("__id"), "left")
+    joined = rows.join(found, "__row", "left")
     cleaned = secrets.redact(F.col("text"), spans)
     length = F.when(F.size("__found") > 0, F.char_length(cleaned).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     new = {"text": cleaned, "n_chars": length}
@@ -55,10 +59,18 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(docs.select("doc_id", "source", "text"), weight=F.log(2.0 + F.col("size")))
-    times = durable(mixed.where("times > 0").select(F.col("doc_id").alias("__id"), F.col("times").cast("int").alias("__times")))
-    joined = docs.join(times, F.col("doc_id") == F.col("__id"))
-    repeated = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+    rows = docs.withColumn("__row", row_key("doc_id", "source", "text"))
+    mixed = mixing.mix(rows.select("doc_id", "source", "text", "__row"), weight=F.log(2.0 + F.col("size")), keep=("__row",))
+    # Rows of one key differ by one copy at most: some have the least number, the others one more.
+    times = mixed.groupBy("__row").agg(F.count("*").alias("__n"), F.min("times").alias("__least"), F.sum("times").alias("__all"))
+    times = durable(times.where("__all > 0"))
+    taken = rows.join(times.where("__n = 1"), "__row").withColumn("__times", F.col("__all").cast("int"))
+    if times.where("__n > 1").limit(1).count():
+        place = F.row_number().over(Window.partitionBy("__row").orderBy("__n"))
+        more = (place <= F.col("__all") - F.col("__n") * F.col("__least")).cast("int")
+        several = rows.join(times.where("__n > 1"), "__row").withColumn("__times", (F.col("__least") + more).cast("int"))
+        taken = taken.unionByName(several.where("__times > 0"))
+    repeated = taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
     return repeated.select(*(F.col(c) for c in docs.columns))
 
 

@@ -326,6 +326,26 @@ def test_pipeline_of_odd_rows(spark, odd):
     assert docs.count() >= 0
 
 
+def test_pipeline_stages_tell_rows_apart_without_ids(spark):
+    prose = [" ".join(f"{w}{k}" for w in PROSE) for k in range(5)]
+    texts = [(None, prose[0]), (None, prose[1] + " token=abcdef123"), (7, prose[2] + " token=abcdef123"), (7, prose[3]), (7, prose[3]),
+             (8, prose[3]), (None, prose[3]), (None, ""), (9, None)]
+    rows = [(i, t, "en", "a", len(t or "")) for i, t in texts]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(2)
+    seen = lambda frame: collections.Counter((r["doc_id"], r["text"]) for r in frame.collect())
+    alone = corpus_pipeline.durable(corpus_pipeline.near_duplicates(spark, corpus_pipeline.durable(docs), SF_DIR))
+    assert seen(alone) == collections.Counter([*texts[:4], *texts[7:]])
+    clean = lambda t: t and t.replace("token=abcdef123", "<SECRET>")
+    for frame in (alone, docs):
+        scanned = seen(corpus_pipeline.secret_scans(spark, frame, SF_DIR))
+        assert scanned == collections.Counter((i, clean(t)) for (i, t), n in seen(frame).items() for _ in range(n))
+    mixed = seen(corpus_pipeline.mix_sources(spark, docs, SF_DIR))
+    wanted = mixing.mix(docs, weight=F.log(2.0 + F.col("size")), keep=("text",)).collect()
+    for key, n in mixed.items():
+        assert n == sum(r["times"] for r in wanted if (r["doc_id"], r["text"]) == key)
+    assert sum(mixed.values()) == sum(r["times"] for r in wanted)
+
+
 def test_every_operator_is_registered():
     names = contract.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))

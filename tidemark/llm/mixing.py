@@ -90,11 +90,12 @@ def expected_copies(rows: DataFrame, cap: int = CAP) -> DataFrame:
     return placed.withColumn("copies", F.least(F.lit(float(cap)), F.col("factor") * F.col("weight"))).drop("factor")
 
 
-def mix(docs: DataFrame, weight: Column | None = None, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, weight: Column | None = None, seed: int = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text_hash, size, source_size, target, copies, times and taken of every row of ``docs``.
 
     ``times`` is the number of copies that the mix takes, ``taken`` their words.
     ``weight`` (over doc_id, source, size) favours documents; the default treats all alike.
+    The columns ``keep`` of ``docs`` pass through.
     """
     weight = F.lit(1.0) if weight is None else weight
     rows = docs.select(
@@ -102,6 +103,7 @@ def mix(docs: DataFrame, weight: Column | None = None, seed: int = SEED) -> Data
         F.col("source").cast("string"),
         word_count(F.col("text")).alias("size"),
         F.xxhash64("text").alias("text_hash"),
+        *keep,
     )
     sizes = durable(rows)
     targets = durable(source_targets(sizes))
@@ -161,5 +163,5 @@ def mix(docs: DataFrame, weight: Column | None = None, seed: int = SEED) -> Data
     times = F.col("whole") + F.col("extra") + F.col("last")
     return done.select(
         "doc_id", "text_hash", "size", "source_size", "target", "copies",
-        times.cast("long").alias("times"), (times * F.col("size")).cast("long").alias("taken"),
+        times.cast("long").alias("times"), (times * F.col("size")).cast("long").alias("taken"), *keep,
     )

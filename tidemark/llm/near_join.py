@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import WordHashes, ngram_hashes, pack_sorted, ship, unpack_sorted
 from tidemark.session import durable
@@ -75,8 +75,13 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, _ARROW)], schema=_ARROW)
 
 
-def _block(number: int, ids: list, sets: list[np.ndarray], keys: list[bytes], ranges: int) -> pa.RecordBatch:
-    """The messages of one block: its documents, its shingles by hash range, its hot members."""
+def _block(
+    number: int, ids: list, sets: list[np.ndarray], keys: list[bytes], ranges: int, marks: list[bytes] | None = None
+) -> pa.RecordBatch:
+    """The messages of one block: its documents, its shingles by hash range, its hot members.
+
+    ``marks`` are 16 bytes for each document that come back with it.
+    """
     first: dict[bytes, int] = {}
     for i, k in enumerate(keys):
         first.setdefault(k, i)
@@ -92,7 +97,7 @@ def _block(number: int, ids: list, sets: list[np.ndarray], keys: list[bytes], ra
     missing = np.array([i is None for i in ids], np.uint8)
     sizes = np.array([len(s) for s in sets], np.uint32)
     # A key of its own for every block: what stays with the block meets no other block.
-    rows = [(-1 - number, number, _FACTS, numbers.tobytes(), missing.tobytes(), sizes.tobytes(), b"".join(keys))]
+    rows = [(-1 - number, number, _FACTS, numbers.tobytes(), missing.tobytes() + b"".join(marks or []), sizes.tobytes(), b"".join(keys))]
     if hot.any():
         rows.append(
             (-1 - number, number, _MEMBERS, pack_sorted(distinct[hot]), count[hot].astype("<u4").tobytes(),
@@ -118,20 +123,22 @@ def _block(number: int, ids: list, sets: list[np.ndarray], keys: list[bytes], ra
 
 def _speak(batches: Iterator[pa.RecordBatch], width: int, ranges: int) -> Iterator[pa.RecordBatch]:
     memo, number = WordHashes(), TaskContext.get().partitionId() << 32
-    ids, sets, keys, held = [], [], [], 0
+    ids, sets, keys, marks, held = [], [], [], [], 0
     for batch in batches:
-        for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        extra = batch.column(2).to_pylist() if batch.num_columns > 2 else [b""] * batch.num_rows
+        for i, text, mark in zip(batch.column(0).to_pylist(), batch.column(1), extra):
             raw = text.as_py()
+            marks.append(mark)
             found = shingles(raw.encode().lower().split() if raw else [], memo, width)
             ids.append(i)
             sets.append(found)
             keys.append(xxhash.xxh3_128_digest(found.tobytes()))
             held += len(found)
             if held >= BLOCK_SHINGLES or len(ids) >= BLOCK_DOCS:
-                yield _block(number, ids, sets, keys, ranges)
-                ids, sets, keys, held, number = [], [], [], 0, number + 1
+                yield _block(number, ids, sets, keys, ranges, marks)
+                ids, sets, keys, marks, held, number = [], [], [], [], 0, number + 1
     if ids:
-        yield _block(number, ids, sets, keys, ranges)
+        yield _block(number, ids, sets, keys, ranges, marks)
 
 
 def _count(table: pa.Table) -> pa.Table:
@@ -165,9 +172,10 @@ def _count(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_batch(out)]) if out else _ARROW.empty_table()
 
 
-_FACT_ROWS = "doc_id long, n long, key binary, lone long, shared binary"
+_FACT_ROWS = "doc_id long, n long, key binary, lone long, shared binary, mark binary"
 _FACT_ARROW = pa.schema(
     [("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("lone", pa.int64()), ("shared", pa.binary())]
+    + [("mark", pa.binary())]
 )
 
 
@@ -177,7 +185,8 @@ def _hear(table: pa.Table, num: int, den: int) -> pa.Table:
     for r in table.to_pylist():
         if r["kind"] == _FACTS:
             ids = np.frombuffer(r["a"], np.int64)
-            missing, sizes = np.frombuffer(r["b"], np.uint8), np.frombuffer(r["c"], np.uint32)
+            missing, sizes = np.frombuffer(r["b"], np.uint8, len(ids)), np.frombuffer(r["c"], np.uint32)
+            marks = [r["b"][i : i + 16] for i in range(len(ids), len(r["b"]), 16)] or [None] * len(ids)
             keys = [r["d"][i : i + 16] for i in range(0, len(r["d"]), 16)]
         elif r["kind"] == _MEMBERS:
             hot = unpack_sorted(r["a"]), np.frombuffer(r["b"], "<u4"), np.frombuffer(r["c"], np.uint16)
@@ -211,6 +220,7 @@ def _hear(table: pa.Table, num: int, den: int) -> pa.Table:
             pa.array(keys, pa.binary()),
             pa.array(lone),
             pa.array([lists.get(i) for i in range(len(sizes))], pa.binary()),
+            pa.array(marks, pa.binary()),
         ],
         schema=_FACT_ARROW,
     )
@@ -448,17 +458,16 @@ def _labels(classes: DataFrame, num: int, den: int) -> DataFrame:
     return labels
 
 
-def near_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, threshold: tuple = THRESHOLD
-) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` for each row of ``docs``.
-
-    Two documents link when ``den * |A & B| >= num * |A | B|`` for ``threshold = (num, den)``;
-    ``component_id`` is the smallest id that a document reaches by links, its own included.
-    """
+def _rooted(
+    docs: DataFrame, id_col: str, text_col: str, width: int, threshold: tuple, mark: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, key, mark) of the rows without words, and of the others with ``root``, the class of the group."""
     num, den = threshold
     ship(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+        *([] if mark is None else [mark.alias("mark")]),
+    )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(48, size // (6 * RANGE_SHINGLES))
     spoken = rows.mapInArrow(lambda it: _speak(it, width, ranges), _MESSAGE)
@@ -468,11 +477,34 @@ def near_groups(
     classes = durable(
         index.dropDuplicates(["node"]).mapInArrow(_shape, "node binary, n long, lone long, shared binary, shape array<int>")
     )
-    labels = _labels(classes, num, den)
-    small = facts.select("doc_id", "n", "key")
-    empty = small.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    full = small.where("n > 0").join(labels.withColumnRenamed("node", "key"), "key", "left")
-    full = full.withColumn("root", F.coalesce("root", "key"))
+    labels = _labels(classes, num, den).withColumnRenamed("node", "key")
+    small = facts.select("doc_id", "n", "key", "mark")
+    full = small.where("n > 0").join(labels, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    return small.where("n = 0"), full
+
+
+def near_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, threshold: tuple = THRESHOLD
+) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id`` for each row of ``docs``.
+
+    Two documents link when ``den * |A & B| >= num * |A | B|`` for ``threshold = (num, den)``;
+    ``component_id`` is the smallest id that a document reaches by links, its own included.
+    """
+    empty, full = _rooted(docs, id_col, text_col, width, threshold)
+    empty = empty.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     smallest = full.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     full = full.join(smallest, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return full.unionByName(empty)
+
+
+def survivors(
+    docs: DataFrame, mark: Column, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, threshold: tuple = THRESHOLD
+) -> DataFrame:
+    """``mark`` (16 bytes that stand for id and text) of one row of each group of ``near_groups``.
+
+    It is the row with the smallest id, a missing id last.  Rows without words are in no group.
+    """
+    _, full = _rooted(docs, id_col, text_col, width, threshold, mark)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "mark"))
+    return full.groupBy("root").agg(first.alias("first")).select("first.mark")
