@@ -175,6 +175,9 @@ MIXED = "zQ9aB8cD7eF6gH5iJ4kL3m"
         ("é🙂 PassWd = 'hunter22' login=bob", ["assign", "account"]),
         ("token: token: abcdefgh", []),
         (f"user=u token={MIXED}", ["account", "assign"]),
+        ("postgres://svc:S3cr3tPw@db/x?password=abcdef1 token=0123456789", ["endpoint", "assign", "assign"]),
+        (f"user=carol {MIXED}-{'0a1b' * 6}", ["account", "mixed", "hex"]),
+        (f"user=carol {'aB' * 60}7", ["account", "mixed"]),
     ],
 )
 def test_weak_parts_need_a_complement_in_scope(spark, text, kinds):

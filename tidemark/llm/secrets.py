@@ -41,7 +41,7 @@ ACCOUNT = (
 )
 ENDPOINT = r"""(?i)(?:[a-z][a-z0-9+]{1,15}://[^\s"'<>]+|(?:host|endpoint|server|base_?url)["']?\x20*[:=]\x20*["']?[a-z0-9.-]{4,}(?::[0-9]{2,5})?)"""
 MIXED = (
-    rf"(?<!{_TOKEN})(?={_TOKEN}{{0,80}}[0-9])(?={_TOKEN}{{0,80}}[a-z])(?={_TOKEN}{{0,80}}[A-Z])"
+    rf"(?<!{_TOKEN})(?={_TOKEN}*[0-9])(?={_TOKEN}*[a-z])(?={_TOKEN}*[A-Z])"
     rf"{_TOKEN}{{20,}}={{0,2}}(?!{_TOKEN})"
 )
 
@@ -105,10 +105,10 @@ def _linked(parts: DataFrame) -> DataFrame:
     apart = (F.col("y.start") >= F.col("x.end")) | (F.col("y.end") <= F.col("x.start"))
     same = (F.col("x.text_key") == F.col("y.text_key")) & (F.col("x.cell") == F.col("y.cell"))
     linked = x.join(y, same & near & fits & apart, "left_semi").select("text_key", "start", "end", "kind").distinct()
-    # What a strong span covers already is not reported again.
+    # What a strong span covers as a whole is not reported again.
     strong = cells.where(F.col("kind") < len(STRONG)).alias("y")
     x = linked.withColumn("cell", F.explode(F.sequence(F.floor(F.col("start") / REACH), F.floor(F.col("end") / REACH)))).alias("x")
-    over = same & (F.col("y.start") < F.col("x.end")) & (F.col("y.end") > F.col("x.start"))
+    over = same & (F.col("y.start") <= F.col("x.start")) & (F.col("y.end") >= F.col("x.end"))
     covered = x.join(strong, over, "left_semi").select("text_key", "start", "end", "kind").distinct()
     return linked.join(covered, ["text_key", "start", "end", "kind"], "left_anti")
 
