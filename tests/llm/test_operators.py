@@ -233,6 +233,14 @@ def test_pareto_samples_favour_by_weight(spark):
     assert mixed.where("times > 2 OR times < floor(copies)").count() == 0
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_mix_passes_over_documents_that_do_not_fit(spark, seed):
+    """The long one alone, or all short ones, reach the target exactly."""
+    docs = spark.range(401).selectExpr("id AS doc_id", "'a' AS source", "repeat('w ', IF(id = 0, 2000, 5)) AS text")
+    rows = mixing.mix(docs, seed=seed).collect()
+    assert sum(r["taken"] for r in rows) == rows[0]["target"] == 6000
+
+
 def test_mix_of_odd_rows(odd):
     rows = mixing.mix(odd).collect()
     assert len(rows) == len(ODD) and {r["taken"] for r in rows if r["size"] == 0} == {0}

@@ -8,7 +8,8 @@ weight of the document and stopped at ``cap``, such that the expected words are
 Its whole copies are certain.  The rest is an inclusion probability p: with one uniform number u
 per document, documents are ranked by the Pareto variable (u / (1 - u)) / (p / (1 - p)), and taken
 in that order until the words still wanted are reached: a sample of fixed size, in words, with
-unequal probabilities.  Then one further document, the one whose words fit best what is still
+unequal probabilities.  A document longer than what is still wanted is passed over, and the filling
+goes on down the order until no document fits.  Then one further document, the one whose words fit best what is still
 missing, closes the gap if that brings the source nearer to its target.
 
 u is a hash of seed, id and text, so that reruns agree.
@@ -25,6 +26,8 @@ then in arbitrary order, which changes no total; an empty table gives no rows; o
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import word_count
@@ -90,6 +93,21 @@ def expected_copies(rows: DataFrame, cap: int = CAP) -> DataFrame:
     return placed.withColumn("copies", F.least(F.lit(float(cap)), F.col("factor") * F.col("weight"))).drop("factor")
 
 
+def _filled(rows: DataFrame) -> DataFrame:
+    """Add ``extra``: 1 for the rows, in order, whose running words stay within ``missing`` of their key."""
+    cells = rows.groupBy("key", "cell").agg(F.sum("size").alias("words"))
+    upto = Window.partitionBy("key").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = durable(cells.select("*", F.coalesce(F.sum("words").over(upto), F.lit(0)).alias("earlier")))
+    rows = rows.join(cells, ["key", "cell"])
+    inside = (F.col("earlier") < F.col("missing")) & (F.col("earlier") + F.col("words") > F.col("missing"))
+    rows = rows.withColumn("state", F.when(F.col("earlier") + F.col("words") <= F.col("missing"), 1).when(inside, 2).otherwise(0))
+    order = Window.partitionBy("key", "cell").orderBy("rank", "doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    edge = rows.where("state = 2").withColumn("reached", F.col("earlier") + F.sum("size").over(order))
+    edge = edge.withColumn("extra", (F.col("reached") <= F.col("missing")).cast("int")).drop("reached")
+    rest = rows.where("state != 2").withColumn("extra", F.col("state"))
+    return edge.unionByName(rest).drop("words", "earlier", "state")
+
+
 def mix(docs: DataFrame, weight: Column | None = None, seed: int = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text_hash, size, source_size, target, copies, times and taken of every row of ``docs``.
 
@@ -118,31 +136,27 @@ def mix(docs: DataFrame, weight: Column | None = None, seed: int = SEED, keep: t
     pareto = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
     rows = rows.withColumn("rank", F.when((F.col("p") > 0) & (F.col("size") > 0), pareto))
     rows = rows.withColumn("cell", F.floor(F.col("rank") / (1 + F.col("rank")) * CELLS))
-    cells = rows.groupBy("key", "cell").agg(
-        F.sum(F.when(F.col("cell").isNotNull(), F.col("size")).otherwise(0)).alias("words"),
-        F.sum(F.col("size") * F.col("whole")).alias("certain"),
-        F.first("target").alias("target"),
-    )
-    upto = Window.partitionBy("key").orderBy(F.asc_nulls_first("cell")).rowsBetween(Window.unboundedPreceding, -1)
-    # Words of whole copies are certain; ``open`` is what the sample has to bring.
-    cells = durable(
-        cells.select(
-            "key", "cell", "words", "target",
-            F.coalesce(F.sum("words").over(upto), F.lit(0)).alias("earlier"),
-            (F.col("target") - F.sum("certain").over(Window.partitionBy("key"))).alias("open"),
+    # Words of whole copies are certain; ``missing`` is what the sample has to bring.
+    missing = rows.groupBy("key").agg((F.first("target") - F.sum(F.col("size") * F.col("whole"))).alias("missing"))
+    missing = durable(missing)
+    parts = [rows.where("rank is null").withColumn("extra", F.lit(0))]
+    rows = rows.where("rank is not null")
+    while True:
+        # What is too long now is so in all later turns; each turn takes a document of every source that has one.
+        placed = rows.join(missing, "key")
+        parts.append(placed.where("size > missing").drop("missing").withColumn("extra", F.lit(0)))
+        fit = placed.where("size <= missing")
+        if not fit.limit(1).count():
+            break
+        filled = durable(_filled(fit).drop("missing"))
+        parts.append(filled.where("extra = 1"))
+        rows = filled.where("extra = 0").drop("extra")
+        got = filled.groupBy("key").agg(F.sum(F.col("size") * F.col("extra")).alias("got"))
+        missing = durable(
+            missing.join(got, "key", "left").select("key", (F.col("missing") - F.coalesce("got", F.lit(0))).alias("missing"))
         )
-    )
-    rows = rows.join(cells.where("cell is not null").select("key", "cell", "words", "earlier", "open"), ["key", "cell"], "left")
-    inside = (F.col("earlier") < F.col("open")) & (F.col("earlier") + F.col("words") > F.col("open"))
-    rows = rows.withColumn("state", F.when(F.col("earlier") + F.col("words") <= F.col("open"), 1).when(inside, 2).otherwise(0))
-    order = Window.partitionBy("key", "cell").orderBy("rank", "doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edge = rows.where("state = 2").withColumn("reached", F.col("earlier") + F.sum("size").over(order))
-    edge = edge.withColumn("extra", (F.col("reached") <= F.col("open")).cast("int")).drop("reached")
-    rest = rows.where("state != 2").withColumn("extra", F.col("state"))
-    drawn = durable(edge.unionByName(rest))
-    got = drawn.groupBy("key").agg(
-        (F.first("target") - F.sum(F.col("size") * (F.col("whole") + F.col("extra")))).alias("missing")
-    )
+    drawn = durable(reduce(DataFrame.unionByName, parts))
+    got = missing
     left = drawn.where("extra = 0 and rank is not null").join(got.where("missing > 0"), "key")
     fit = F.struct(F.abs(F.col("missing") - F.col("size")).alias("off"), "rank", "doc_id", "text_hash")
     closing = left.groupBy("key").agg(F.min(fit).alias("c"), F.first("missing").alias("missing")).where("c.off < missing")
