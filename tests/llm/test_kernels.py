@@ -144,6 +144,10 @@ def test_shapes():
     assert [quality_model.shape(w) for w in ("Hello", "ABC!!", "a%%%", "12-34")] == ["Aa", "A!", "a%", "0-0"]
 
 
+def test_shapes_of_long_words():
+    assert quality_model.shape("a" * 40 + "B1%") == "aA0%"
+
+
 def test_training_tells_shouting_from_prose():
     letters = "abcdefghijklmnopqrstuvwxyz"
     prose = [" ".join(letters[i * j % 23 :][:4] for j in range(40)) for i in range(1, 60)]

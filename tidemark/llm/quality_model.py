@@ -38,7 +38,7 @@ _REPEAT = 1
 
 def shape(word: str) -> str:
     """Letters as a or A, digits as 0, the rest as it is; runs shortened to one."""
-    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:40])
+    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
     return _RUNS.sub(r"\1", kinds)
 
 
