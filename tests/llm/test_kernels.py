@@ -61,6 +61,21 @@ def test_ids_of_pieces_equal_the_ids_of_whole_texts(texts):
     assert found == [model.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+@settings(max_examples=200, deadline=None)
+@given(parts=st.lists(st.sampled_from(["<|endoftext|>", "a", " ", "\n", "<|", "'s", "1", "\u3000"]), max_size=8))
+def test_names_of_added_tokens_become_one_id(parts):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    found = np.frombuffer(token_files._pieces(path).ids(["".join(parts)])[0], "<i4").tolist()
+    assert found == tokenizers_of(path).encode("".join(parts), add_special_tokens=False).ids
+    assert found.count(50256) == parts.count("<|endoftext|>")
+
+
+def tokenizers_of(path):
+    if path not in WHOLE:
+        WHOLE[path] = tokenizers.Tokenizer.from_file(path)
+    return WHOLE[path]
+
+
 def test_long_pieces_are_not_remembered():
     own = bpe.coder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     text = "x" * 5000 + " y"

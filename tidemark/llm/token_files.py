@@ -134,8 +134,7 @@ class Reader:
 def _pieces(path: str) -> Pieces:
     from tokenizers import Tokenizer
 
-    model = Tokenizer.from_file(path)
-    model.encode_special_tokens = True  # their names in a text are ordinary text
+    model = Tokenizer.from_file(path)  # the name of an added token in a text becomes its one id
     return Pieces(None, lambda texts: [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)])
 
 
