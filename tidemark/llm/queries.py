@@ -6,10 +6,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     bpe,
+    conversations,
+    hard_negatives,
     language,
     mixing,
     near_join,
     order_minhash,
+    pii,
     quality_model,
     quality_rules,
     secrets,
@@ -17,6 +20,7 @@ from tidemark.llm import (
     token_files,
 )
 from tidemark.llm.common import documents
+from tidemark.llm.oracles import CONVERSATIONS, HARD_NEGATIVES
 
 
 def held_out():
@@ -99,6 +103,24 @@ def op10_sharding(spark, sf_dir):
     )
 
 
+def op11_pii(spark, sf_dir):
+    """Counts and spans of personal data in every text."""
+    return pii.report(pii.scan(documents(spark, sf_dir).select(F.col("doc_id").cast("long"), "text")))
+
+
+def op12_hard_negatives(spark, sf_dir):
+    """The first negatives within the window of each positive of every hundredth vector."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows, label=label, anchor=F.col("vec_id") % 100 == 0)
+
+
+def op13_conversation_repair(spark, sf_dir):
+    """Faults and the cheapest repair of every conversation after its damage."""
+    return conversations.damage_and_repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES = {
     name: function for name, function in list(globals().items()) if name.startswith("op") and callable(function)
 }
+SQL = {"op12_hard_negatives": HARD_NEGATIVES, "op13_conversation_repair": CONVERSATIONS}
