@@ -221,13 +221,14 @@ def test_repair_is_the_cheapest(monkeypatch, costs):
     ahead = {(0, 3): costs[1], (0, 2): costs[2] + costs[1], (1, 3): 0, (1, 2): costs[2]}
     monkeypatch.setattr(conversations, "AHEAD", ahead)
     draw = random.Random(sum(costs))
-    for _ in range(250):
+    longest, inserts = (4, 2) if costs[2] > 3 else (2, 6)
+    for _ in range(150):
         roles = ["system", "user", "assistant", "tool", " "]
-        rows = [(draw.choice(roles), draw.choice("ab"), draw.random() < 0.2, draw.random() < 0.2) for _ in range(draw.randint(0, 4))]
+        rows = [(draw.choice(roles), draw.choice("ab"), draw.random() < 0.2, draw.random() < 0.2) for _ in range(draw.randint(0, longest))]
         search = conversations.Repair()
         for row in rows:
             search.row(*row)
-        assert search.finish() == _cheapest(rows, costs), rows
+        assert search.finish() == _cheapest(rows, costs, inserts), rows
 
 
 def test_undecided_edits_stay_few():
@@ -275,7 +276,7 @@ def _damaged(rows):
         yield from [(conv, turn, "user" if kind == 4 else role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
 
 
-@pytest.mark.parametrize("shift", range(0, 60, 7))
+@pytest.mark.parametrize("shift", [0, 7, 23, 41])
 def test_repair_of_odd_rows(spark, shift):
     """Shifted ids meet every kind of damage."""
     rows = [(None if c is None else c + 10 * shift, *rest) for c, *rest in ODD]
