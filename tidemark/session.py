@@ -57,3 +57,17 @@ def durable(df: DataFrame) -> DataFrame:
     path = work_path(df.sparkSession, "durable")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(table: DataFrame) -> None:
+    """Delete the files of a table that ``durable`` wrote, once nothing will read it any more.
+
+    Only folders that ``work_path`` named are touched; a table that nobody releases stays until the
+    lifetime rule of the shared folder removes it.
+    """
+    spark = table.sparkSession
+    folders = {file.rsplit("/", 1)[0] for file in table.inputFiles()}
+    for folder in folders:
+        if folder.rsplit("/", 1)[1].startswith("durable-"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
