@@ -75,14 +75,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), keep=("doc_id", "lang", "source"))
+    kept = ("doc_id", "lang", "source")
+    coded = bpe.round_trip(docs.select(*kept, "text"), keep=kept)
     listed = F.array_join(F.col("ids").cast("array<string>"), " ")
-    coded = coded.select(
-        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), "ids"
-    )
-    kept = ("doc_id", "lang", "source", "n_tokens", "ids_sha256", "ids")
-    decoded = bpe.decode(coded, keep=kept)
-    return decoded.select(*kept, F.sha2("decoded", 256).alias("decoded_sha256"))
+    return coded.select(
+        *kept, F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
