@@ -2,37 +2,32 @@
 
 from __future__ import annotations
 
+import math
 import random
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import name_predictions, season_fallback, vector_values
 from ..schema import require_columns
 from ..session import durable
-from . import metrics as M
+from . import metrics as M, trees
 
-# Settings of the three model families.  The forest caches node ids so that growing trees
-# are not sent to the tasks at every level.
-FOREST = {"numTrees": 200, "maxDepth": 15, "minInstancesPerNode": 2, "seed": 42, "cacheNodeIds": True}
+# Settings of the three model families.
+FOREST = {"numTrees": 200, "maxDepth": 15, "minSplit": 5, "minInstancesPerNode": 2, "seed": 42}
 BOOSTING = {"maxIter": 150, "stepSize": 0.1, "maxDepth": 6, "seed": 42}
 LINEAR = {"regParam": 0.0, "solver": "normal"}
 
-# Search ranges of the forest (both ends included).  Spark ML has no minimum
-# split size; the smallest leaf size takes its place.
-FOREST_RANGES = {"numTrees": (50, 200), "maxDepth": (5, 30), "minInstancesPerNode": (1, 10)}
+# Search ranges of the forest (both ends included).
+FOREST_RANGES = {"numTrees": (50, 500), "maxDepth": (5, 30), "minSplit": (2, 20), "minInstancesPerNode": (1, 10)}
 
-FAMILIES: dict[str, Callable[..., Estimator]] = {
-    "LinearRegression": lambda **p: LinearRegression(**{**LINEAR, **p}),
-    "GradientBoosting": lambda **p: GBTRegressor(**{**BOOSTING, **p}),
-    "RandomForest": lambda **p: RandomForestRegressor(**{**FOREST, **p}),
-}
+FAMILIES = ("LinearRegression", "GradientBoosting", "RandomForest")
 
 
 def assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -49,12 +44,27 @@ def fit_models(
     targets: Sequence[str],
     params: Mapping[str, object] | None = None,
 ) -> PipelineModel:
-    """One regressor per target behind a shared assembler and scaler.
+    """A fitted model of all targets; predictions go to ``<target>_hat``.
 
-    Predictions go to ``<target>_hat``.  Each fit is a distributed Spark ML job; the fits of
-    the targets are independent and are submitted together over one cached vector table.
+    A forest is one model for all targets, and small tables are boosted in a task per target
+    (``trees``).  The engine's learners fit linear models and boost larger tables, one regressor
+    per target behind a shared assembler and scaler, submitted together over one cached table.
     """
     require_columns(train, [*features, *targets])
+    params = dict(params or {})
+    if family == "RandomForest":
+        settings = [{**FOREST, **params}]
+        return PipelineModel(stages=trees.fit_forests(train, features=features, targets=targets, settings=settings))
+    if family == "GradientBoosting":
+        own = {**BOOSTING, **params}
+        boosted = trees.fit_boosting(
+            train, features=features, targets=targets, rounds=own["maxIter"], step=own["stepSize"], depth=own["maxDepth"]
+        )
+        if boosted:
+            return PipelineModel(stages=[boosted])
+        regressor, params = GBTRegressor, own
+    else:
+        regressor, params = LinearRegression, {**LINEAR, **params}
     prepare = Pipeline(
         stages=[
             VectorAssembler(inputCols=list(features), outputCol="features"),
@@ -65,7 +75,7 @@ def fit_models(
 
     def fit(target: str):
         settings = {"featuresCol": "scaled", "labelCol": target, "predictionCol": f"{target}_hat"}
-        return FAMILIES[family](**settings, **dict(params or {})).fit(vectors)
+        return regressor(**settings, **params).fit(vectors)
 
     try:
         with ThreadPoolExecutor(len(targets)) as pool:
@@ -161,21 +171,54 @@ def results_table(metrics: DataFrame, experiment: Mapping[str, object]) -> DataF
     return out.select(*[F.lit(v).alias(k) for k, v in experiment.items()], *out.columns)
 
 
+def _weights(model: PipelineModel, targets: Sequence[str]) -> dict:
+    """Feature importances by target; empty for models that have none."""
+    if isinstance(model.stages[0], trees.TreeModel):
+        return model.stages[0].importances()
+    own = zip(targets, model.stages[2:], strict=True)
+    return {t: stage.featureImportances.toArray() for t, stage in own if hasattr(stage, "featureImportances")}
+
+
 def importances(models: Mapping[str, PipelineModel], spark, *, features: Sequence[str], targets: Sequence[str]) -> DataFrame:
     """Feature importances of tree models as a long table: (model, target, feature, importance).
 
     Its size is models x targets x features, whatever the data volume.
     """
-    rows = [
-        (family, target, feature, float(weight))
-        for family, model in models.items()
-        for target, stage in zip(targets, model.stages[2:], strict=True)
-        if hasattr(stage, "featureImportances")
-        for feature, weight in zip(features, stage.featureImportances.toArray(), strict=True)
-    ]
+    weights = [(family, target, w) for family, model in models.items() for target, w in _weights(model, targets).items()]
+    rows = [(family, target, f, float(w)) for family, target, own in weights for f, w in zip(features, own, strict=True)]
     return spark.createDataFrame(rows, "model string, target string, feature string, importance double")
 
 
+# Fixed values of the search: trials before proposals, trials of a round, share of trials that count
+# as good, values drawn for each proposal, trees that a proposal is screened with.
+STARTUP, ROUND, GOOD, DRAWN, SCREEN = 8, 4, 0.25, 24, 20
+
+
+def _density(x: int, points: Sequence[int], low: int, high: int) -> float:
+    """Parzen estimate over ``points`` with a flat share of one point."""
+    width = max(1.0, (high - low) / (1 + math.sqrt(len(points))))
+    bumps = sum(math.exp(-(((x - p) / width) ** 2) / 2) / (width * math.sqrt(2 * math.pi)) for p in points)
+    return (bumps + 1 / (high - low + 1)) / (len(points) + 1)
+
+
+def propose(
+    outcomes: Sequence[tuple[Mapping[str, int], float]], ranges: Mapping[str, tuple[int, int]], draw: random.Random, count: int
+) -> list[dict[str, int]]:
+    """Settings that good trials make likelier than bad ones (a tree of Parzen estimators, one per parameter)."""
+    ranked = [s for s, _ in sorted(outcomes, key=lambda o: o[1])]
+    cut = max(2, math.ceil(GOOD * len(ranked)))
+    good, bad = ranked[:cut], ranked[cut:]
+
+    def value(name: str) -> int:
+        low, high = ranges[name]
+        width = max(1.0, (high - low) / (1 + math.sqrt(len(good))))
+        near = [round(draw.gauss(draw.choice(good)[name], width)) for _ in range(DRAWN)]
+        inside = [x for x in near if low <= x <= high] or [draw.randint(low, high)]
+        return max(inside, key=lambda x: _density(x, [s[name] for s in good], low, high) / _density(x, [s[name] for s in bad], low, high))
+
+    return [{name: value(name) for name in ranges} for _ in range(count)]
+
+
 def tune_forest(
     train: DataFrame,
     *,
@@ -184,30 +227,47 @@ def tune_forest(
     valid: Column,
     trials: int = 20,
     seed: int = 42,
-    parallelism: int = 2,
     ranges: Mapping[str, tuple[int, int]] = FOREST_RANGES,
 ) -> tuple[dict[str, int], list[tuple[dict[str, int], float]]]:
-    """Seeded random search; each trial is scored by pooled RMSE on a validation tail of train.
+    """Seeded informed search; each trial is scored by pooled RMSE on a validation tail of train.
 
-    ``valid`` marks the validation rows (the latest part of the training rows), so the test
-    rows play no part in choosing parameters.  Returns the best setting and all trials.
+    ``valid`` marks the validation rows (the latest part of the training rows), so the test rows play
+    no part in choosing parameters.  The first trials are drawn evenly; later ones are proposed by
+    what good trials have in common, twice as many as are wanted, and the better half on a few trees
+    is tried in full.  The forests of a round grow together.  Returns the best setting and all trials.
     """
     draw = random.Random(seed)
-    settings = [{n: draw.randint(*ranges[n]) for n in ranges} for _ in range(trials)]
-    fit_rows, check_rows = train.where(~valid).cache(), train.where(valid).cache()
+    fit_rows, check_rows = durable(train.where(~valid)), durable(train.where(valid))
+
+    def scored(settings: Sequence[Mapping[str, int]]) -> list[float]:
+        models = trees.fit_forests(fit_rows, features=features, targets=targets, settings=settings)
+        long = [
+            M.predictions_to_long(score(PipelineModel(stages=[m]), check_rows, targets), [], {t: (t, f"{t}_hat") for t in targets})
+            .select(F.lit(i).alias("trial"), "y", "yhat")
+            for i, m in enumerate(models)
+        ]
+        found = M.pooled_rmse(reduce(DataFrame.unionByName, long), ["trial"]).collect()  # one row per trial
+        return [r["pooled_rmse"] for r in sorted(found, key=lambda r: r["trial"])]
+
+    outcomes: list[tuple[dict[str, int], float]] = []
+    while len(outcomes) < trials:
+        count = min(ROUND, trials - len(outcomes))
+        if len(outcomes) < STARTUP:
+            settings = [{n: draw.randint(*ranges[n]) for n in ranges} for _ in range(count)]
+        else:
+            settings = propose(outcomes, ranges, draw, 2 * count)
+            few = scored([{**s, "numTrees": min(SCREEN, s["numTrees"])} for s in settings])
+            settings = [s for _, s in sorted(zip(few, settings), key=lambda x: x[0])][:count]
+        outcomes += zip(settings, scored(settings), strict=True)
+    return min(outcomes, key=lambda o: o[1])[0], outcomes
 
-    def trial(setting: dict[str, int]) -> float:
-        model = fit_models(fit_rows, family="RandomForest", features=features, targets=targets, params=setting)
-        long = M.predictions_to_long(score(model, check_rows, targets), [], {t: (t, f"{t}_hat") for t in targets})
-        return float(M.pooled_rmse(long, []).first()[0])
 
-    try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            outcomes = list(zip(settings, pool.map(trial, settings), strict=True))
-    finally:
-        fit_rows.unpersist()
-        check_rows.unpersist()
-    return min(outcomes, key=lambda o: o[1])[0], outcomes
+def tune_and_refit(
+    train: DataFrame, *, features: Sequence[str], targets: Sequence[str], valid: Column, **search: object
+) -> tuple[PipelineModel, dict[str, int], list[tuple[dict[str, int], float]]]:
+    """The search, and a forest with its best setting fitted to all training rows."""
+    best, outcomes = tune_forest(train, features=features, targets=targets, valid=valid, **search)
+    return fit_models(train, family="RandomForest", features=features, targets=targets, params=best), best, outcomes
 
 
 def cross_validate(

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,3 +74,18 @@ def release(table: DataFrame) -> None:
         if folder.rsplit("/", 1)[1].startswith("durable-"):
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors, once per session, as a user would with --py-files."""
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_shipped", False):
+        return spark
+    package = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(), "tidemark.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, Path(package.name) / file.relative_to(package))
+    context.addPyFile(archive)
+    context._tidemark_shipped = True
+    return spark
