@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from sentencepiece import sentencepiece_model_pb2 as proto
 
 from tidemark.llm.common import ship
-from tidemark.llm.pieces import Pieces, gather, groups
+from tidemark.llm.pieces import Pieces, gather, slices
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -97,42 +97,77 @@ def coder(path: str, pattern: str) -> Coder:
     return Coder(path, pattern)
 
 
+def _coded(batches: Iterator[pa.RecordBatch], column: int, path: str, pattern: str) -> Iterator[tuple[list[pa.Array], pa.Array]]:
+    """The other columns and the ids of some rows at a time."""
+    own = coder(path, pattern)
+    with own.pieces.task():
+        for batch in batches:
+            for part, texts in slices(batch, column):
+                coded = own.encode(texts)
+                ends = np.cumsum([0, *(len(c) // 4 for c in coded)]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(coded), np.int32)))
+                yield part.columns[:column], ids
+
+
+def _decoded(ids: pa.ListArray, tokens: pa.Array) -> pa.Array:
+    counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy().astype(np.int64)
+    return pa.array(gather(tokens, ids.flatten(), np.cumsum(np.r_[0, counts])), pa.binary())
+
+
+def _named(docs: DataFrame, keep: tuple, *more: str) -> tuple[DataFrame, list[str], str]:
+    """The kept columns under names of our own, those names, and their schema."""
+    names = [f"__{i}" for i in range(len(keep))]
+    frame = docs.select(*(F.col(c).alias(n) for n, c in zip(names, keep)), *more)
+    return frame, names, "".join(f"{n} {frame.schema[n].dataType.simpleString()}, " for n in names)
+
+
+def _back(frame: DataFrame, names: list[str], keep: tuple, *more: str) -> DataFrame:
+    return frame.select(*(F.col(n).alias(c) for n, c in zip(names, keep)), *more)
+
+
 def encode(
     docs: DataFrame, path: str | None = None, pattern: str | None = None, text: str = "text", keep: tuple = ("doc_id",)
 ) -> DataFrame:
     """The columns ``keep`` of ``docs`` and ``ids``, the token ids of ``text``, as array<int>."""
     ship(docs.sparkSession)
     path, pattern = path or public_tokenizers.path(VOCABULARY), pattern or public_tokenizers.PATTERN
+    frame, names, kinds = _named(docs, keep, F.col(text).cast("string").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = coder(path, pattern)
-        for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
-            for rows in groups(texts):
-                coded = own.encode([texts[i] for i in rows])
-                ends = np.cumsum([0, *(len(c) // 4 for c in coded)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(coded), np.int32)))
-                kept = [c.slice(rows.start, len(rows)) for c in batch.columns[: len(keep)]]
-                yield pa.RecordBatch.from_arrays([*kept, ids], names=[*keep, "ids"])
+        for kept, ids in _coded(batches, len(names), path, pattern):
+            yield pa.RecordBatch.from_arrays([*kept, ids], names=[*names, "ids"])
 
-    frame = docs.select(*keep, F.col(text).cast("string").alias("__text"))
-    kinds = [f"`{c}` {frame.schema[c].dataType.simpleString()}" for c in keep]
-    return frame.mapInArrow(run, ", ".join([*kinds, "ids array<int>"]))
+    return _back(frame.mapInArrow(run, f"{kinds}ids array<int>"), names, keep, "ids")
 
 
 def decode(coded: DataFrame, path: str | None = None, keep: tuple = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` of ``coded`` and ``decoded``, the bytes that ``ids`` stand for; none for missing ids."""
     ship(coded.sparkSession)
     path = path or public_tokenizers.path(VOCABULARY)
+    frame, names, kinds = _named(coded, keep, F.col("ids").alias("__ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = pa.array(read_ranks(path), pa.large_binary())
         for batch in batches:
-            ids = batch.column(len(keep))
-            counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy().astype(np.int64)
-            raw = gather(tokens, ids.flatten(), np.cumsum(np.r_[0, counts]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(raw, pa.binary())], names=[*keep, "decoded"])
-
-    frame = coded.select(*keep, "ids")
-    kinds = [f"`{c}` {frame.schema[c].dataType.simpleString()}" for c in keep]
-    return frame.mapInArrow(run, ", ".join([*kinds, "decoded binary"]))
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                raw = _decoded(part.column(len(names)), tokens)
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], raw], names=[*names, "decoded"])
+
+    return _back(frame.mapInArrow(run, f"{kinds}decoded binary"), names, keep, "decoded")
+
+
+def round_trip(
+    docs: DataFrame, path: str | None = None, pattern: str | None = None, text: str = "text", keep: tuple = ("doc_id",)
+) -> DataFrame:
+    """``encode`` and ``decode`` in one pass, which needs one Python worker a task: ``keep``, ``ids`` and ``decoded``."""
+    ship(docs.sparkSession)
+    path, pattern = path or public_tokenizers.path(VOCABULARY), pattern or public_tokenizers.PATTERN
+    frame, names, kinds = _named(docs, keep, F.col(text).cast("string").alias("__text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = pa.array(read_ranks(path), pa.large_binary())
+        for kept, ids in _coded(batches, len(names), path, pattern):
+            yield pa.RecordBatch.from_arrays([*kept, ids, _decoded(ids, tokens)], names=[*names, "ids", "decoded"])
+
+    return _back(frame.mapInArrow(run, f"{kinds}ids array<int>, decoded binary"), names, keep, "ids", "decoded")

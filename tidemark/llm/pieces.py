@@ -2,8 +2,9 @@
 
 The pre-token pattern never joins a character with white space that follows it, so a text may
 be cut before any white space that follows something else.  A piece is white space with what
-stands after it.  Pieces repeat, and so do the pre-tokens in them, so a worker remembers their ids
-up to a number of entries and starts afresh beyond it, which changes no result.
+stands after it.  Pieces repeat, and so do the pre-tokens in them, so a task remembers their ids
+up to a number of bytes and starts afresh beyond it, which changes no result.  At the end of a ``task``
+it forgets all, so that the worker, which Spark uses again, holds nothing for other work.
 
 Nearly all texts have single spaces only; Arrow splits those, numbers their distinct pieces and
 gathers the ids.  Texts with a space at the start or after other white space are cut one by one.
@@ -13,18 +14,21 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-REMEMBERED = 1_200_000  # about 250 MB in a worker
+REMEMBERED = 64 << 20  # bytes of remembered pieces and ids in a worker, as counted by ``ENTRY``
+ENTRY = 200  # bytes of a remembered piece besides its characters and ids
 LONG = 64  # characters; longer pieces are not remembered
+AT_ONCE = 1_000_000  # bytes of text worked on together
 # The characters with the property White_Space, as the pre-token pattern sees them.
-_BLANK = "\t-\r \x85\xa0  -     　"
-_GENERAL = re.compile(f"[{_BLANK}]*[^{_BLANK}]+|[{_BLANK}]+")
-_BEFORE = [chr(c) + " " for c in range(0x3001) if re.match(f"[{_BLANK}]", chr(c))]
+BLANK = "\t-\r \x85\xa0  -     　"
+_GENERAL = re.compile(f"[{BLANK}]*[^{BLANK}]+|[{BLANK}]+")
+_BEFORE = [chr(c) + " " for c in range(0x3001) if re.match(f"[{BLANK}]", chr(c))]
 
 
 def odd(text: str) -> bool:
@@ -57,14 +61,29 @@ class Pieces(dict):
     without ``split`` it is given whole pieces.
     """
 
-    def __init__(self, split: Callable[[str], list[str]] | None, encode: Callable[[list[str]], list]) -> None:
+    def __init__(
+        self, split: Callable[[str], list[str]] | None, encode: Callable[[list[str]], list], most: int = REMEMBERED
+    ) -> None:
         super().__init__()
-        self.split, self.encode, self.long = split, encode, []
+        self.split, self.encode, self.most, self.bytes = split, encode, most, 0
+
+    def forget(self) -> None:
+        self.clear()
+        self.bytes = 0
+
+    @contextmanager
+    def task(self) -> Iterator[Pieces]:
+        """Everything remembered within is forgotten at the end, also after a failure."""
+        try:
+            yield self
+        finally:
+            self.forget()
+            pa.default_memory_pool().release_unused()
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """The ids of whole texts."""
-        if len(self) > REMEMBERED:
-            self.clear()
+        if self.bytes >= self.most:
+            self.forget()
         out, plain = [b""] * len(texts), []
         for i, text in enumerate(texts):
             if text and odd(text):
@@ -73,9 +92,6 @@ class Pieces(dict):
                 plain.append(i)
         for i, coded in zip(plain, self._spaced([texts[i] for i in plain])):
             out[i] = coded
-        for piece in self.long:
-            self.pop(piece, None)
-        self.long = []
         return out
 
     def _spaced(self, texts: list[str]) -> list[bytes]:
@@ -90,24 +106,57 @@ class Pieces(dict):
 
     def _of(self, pieces: list[str]) -> list[bytes]:
         unknown = list(dict.fromkeys(p for p in pieces if p not in self))
+        own: dict[str, bytes] = {}
         for start in range(0, len(unknown), 20_000):
-            some = unknown[start : start + 20_000]
-            parts = list(map(self.split, some)) if self.split else []
-            new = list(set().union(*parts).difference(self)) if self.split else some
-            self.update(zip(new, [array("i", ids).tobytes() for ids in self.encode(new)]))
-            self.update(zip(some, [b"".join(map(self.__getitem__, own)) for own in parts]))
-            self.long += [p for p in (*new, *some) if len(p) > LONG]
-        return list(map(self.__getitem__, pieces))
+            self._learn(unknown[start : start + 20_000], own)
+        # What was learned just now need not be remembered.
+        return [own.get(p) or self[p] for p in pieces] if own else list(map(self.__getitem__, pieces))
+
+    def _learn(self, some: list[str], own: dict[str, bytes]) -> None:
+        if self.split is None:
+            whole = dict(zip(some, map(_packed, self.encode(some))))
+            found = [whole]
+        else:
+            parts = list(map(self.split, some))
+            new = list(set().union(*parts).difference(self))
+            ids = dict(zip(new, map(_packed, self.encode(new))))
+            whole = {p: b"".join([ids[x] if x in ids else self[x] for x in part]) for p, part in zip(some, parts)}
+            found = [ids, whole]
+        own.update(whole)
+        for pairs in found:
+            if self.bytes >= self.most:
+                return
+            for piece, coded in pairs.items():
+                if len(piece) <= LONG and piece not in self:
+                    self[piece] = coded
+                    # A character takes up to four bytes.
+                    self.bytes += ENTRY + (len(piece) if piece.isascii() else 4 * len(piece)) + len(coded)
+
+
+def _packed(ids: list[int] | np.ndarray) -> bytes:
+    return ids.tobytes() if isinstance(ids, np.ndarray) else array("i", ids).tobytes()
+
+
+def groups(texts: list[str | None], most: int = AT_ONCE) -> list[range]:
+    """Consecutive rows of about ``most`` characters together, at least one row each."""
+    return _groups([len(t or "") for t in texts], most)
 
 
-def groups(texts: list[str | None], most: int = 6_000_000) -> list[range]:
-    """Consecutive rows of about ``most`` characters together, at least one row each."""
+def slices(batch: pa.RecordBatch, column: int, most: int = AT_ONCE) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Consecutive rows of a batch with about ``most`` bytes in a string column, and its values."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    for rows in _groups(sizes, most):
+        part = batch.slice(rows.start, len(rows))
+        yield part, part.column(column).to_pylist()
+
+
+def _groups(sizes: list[int], most: int) -> list[range]:
     out, start, held = [], 0, 0
-    for i, text in enumerate(texts):
-        held += len(text or "")
+    for i, size in enumerate(sizes):
+        held += size
         if held >= most:
             out.append(range(start, i + 1))
             start, held = i + 1, 0
-    if start < len(texts):
-        out.append(range(start, len(texts)))
+    if start < len(sizes):
+        out.append(range(start, len(sizes)))
     return out
