@@ -19,7 +19,7 @@ from tidemark.operators.clean import keep_last
 from tidemark.operators.report import append_today
 from tidemark.operators.features import last_rows, latest_row
 from tidemark.operators.resample import daily_rollup
-from tidemark.session import work_path
+from tidemark.session import durable, work_path
 from tidemark.sources import files, store
 
 from . import inputs as I
@@ -37,16 +37,40 @@ def _as_double(*names):
     return [F.col(n).cast(D).alias(n) for n in names]
 
 
-@query(with_(I.DAILY) + "SELECT series_key, day, CAST(value AS DOUBLE) AS value, CAST(high AS DOUBLE) AS high FROM daily")
-def parse_daily_payload(spark, sf_dir):
-    """Daily payloads (one per series and month) written as JSON text and parsed back."""
+def _daily_payloads(spark, sf_dir):
+    """Daily payloads, one per series and month, as JSON text."""
     rows = I.daily(spark, sf_dir).select(KEY, DAY, *_as_double("value", "high"))
     # A month has at most 31 days, so the arrays stay short.
     point = F.array_sort(F.collect_list(F.struct(F.date_format(DAY, "yyyy-MM-dd").alias("time"), "value", "high")))
     grouped = rows.groupBy(KEY, F.trunc(DAY, "month").alias("_month")).agg(point.alias("p"))
     section = F.struct(*[F.col(f"p.{c}").alias(c) for c in ("time", "value", "high")])
-    payloads = grouped.select(KEY, F.to_json(F.struct(section.alias("daily"))).alias("payload"))
-    return files.parse_daily(payloads, "payload", ids=[KEY], measures=["value", "high"])
+    return grouped.select(KEY, F.col("_month").alias("month"), F.to_json(F.struct(section.alias("daily"))).alias("payload"))
+
+
+@query(with_(I.DAILY) + "SELECT series_key, day, CAST(value AS DOUBLE) AS value, CAST(high AS DOUBLE) AS high FROM daily")
+def parse_daily_payload(spark, sf_dir):
+    """Daily payloads parsed back into rows."""
+    return files.parse_daily(_daily_payloads(spark, sf_dir), "payload", ids=[KEY], measures=["value", "high"])
+
+
+@query(
+    with_(I.DAILY)
+    + """, months AS (SELECT series_key, MONTH(day) AS m, COUNT(*) AS n FROM daily GROUP BY series_key, DATE_TRUNC('month', day), MONTH(day))
+SELECT series_key, COUNT(*) AS payloads, COUNT(*) FILTER (m % 5 = 0) AS unreadable,
+  CAST(SUM(n) FILTER (m % 5 <> 0) AS BIGINT) AS n_rows, COUNT(*) FILTER (m = 7) AS without_day FROM months GROUP BY 1"""
+)
+def unreadable_payloads(spark, sf_dir):
+    """Payloads cut off in every fifth month and with a bad date in July: nothing is lost without a trace."""
+    month = F.month("month")
+    broken = F.when(month % 5 == 0, F.left("payload", F.lit(10))).when(
+        month == 7, F.regexp_replace("payload", r'"time":\["[^"]*"', '"time":["no date"')
+    )
+    payloads = durable(_daily_payloads(spark, sf_dir).withColumn("payload", F.coalesce(broken, F.col("payload"))))
+    options = {"ids": [KEY], "measures": ["value", "high"]}
+    lost = files.unreadable(payloads, "payload", section="daily", **options).groupBy(KEY).agg(F.count("*").alias("unreadable"))
+    rows = files.parse_daily(payloads, "payload", **options).groupBy(KEY)
+    rows = rows.agg(F.count("*").alias("n_rows"), F.count_if(F.col(DAY).isNull()).alias("without_day"))
+    return payloads.groupBy(KEY).agg(F.count("*").alias("payloads")).join(lost, KEY).join(rows, KEY)
 
 
 @query(

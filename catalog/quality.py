@@ -10,6 +10,7 @@ from tidemark.operators import quality as Q
 from tidemark.operators import registry as R
 from tidemark.operators import report as P
 from tidemark.operators import selection as S
+from tidemark.operators.clean import keep_last
 from tidemark.operators.features import latest_row
 from tidemark.operators.ingest import insert_absent
 from tidemark.operators.resample import densify_daily
@@ -68,17 +69,23 @@ def data_summary(spark, sf_dir):
   SELECT c.series_key, c.day, d.value, d.high, d.low, d.n_orders FROM dense c
   LEFT JOIN daily d ON d.series_key = c.series_key AND d.day = c.day),
 counted AS (
-  SELECT series_key, COUNT(*) AS n_rows,
-    (4 * COUNT(*) - COUNT(value) - COUNT(high) - COUNT(low) - COUNT(n_orders))::DOUBLE / (COUNT(*) * 4) AS missing_share
-  FROM joined GROUP BY 1)
-SELECT series_key, n_rows, missing_share,
-  CONCAT_WS('; ', CASE WHEN n_rows < 100 THEN 'too few rows' END, 'too few numeric columns',
-    CASE WHEN missing_share > 0.3 THEN 'too many missing values' END) AS errors, FALSE AS valid FROM counted"""
+  SELECT part AS series_key, COUNT(*) AS n_rows,
+    (5 * COUNT(*) - COUNT(value) - COUNT(high) - COUNT(low) - COUNT(n_orders) - COUNT(high - low))::DOUBLE / (COUNT(*) * 5) AS missing_share
+  FROM (SELECT *, series_key AS part FROM joined UNION ALL
+    SELECT *, series_key || ' thin' FROM joined WHERE DAYOFYEAR(day) = 1 UNION ALL
+    SELECT * REPLACE (NULL AS value, NULL AS high), series_key || ' holed' FROM joined) t GROUP BY 1),
+judged AS (
+  SELECT *, CONCAT_WS('; ', CASE WHEN n_rows < 100 THEN 'too few rows' END,
+    CASE WHEN missing_share > 0.3 THEN 'too many missing values' END) AS errors FROM counted)
+SELECT *, errors = '' AS valid FROM judged"""
 )
 def validate_series(spark, sf_dir):
-    """Series with gaps: four numeric columns are one too few, many days are missing."""
-    gaps = densify_daily(I.daily(spark, sf_dir), key=KEY)
-    out = Q.validate_series(gaps, key=KEY, columns=["value", "high", "low", "n_orders"])
+    """Series as they are, reduced to one day a year, and with two lost columns: each verdict occurs."""
+    gaps = densify_daily(I.daily(spark, sf_dir), key=KEY).select(KEY, DAY, "value", "high", "low", "n_orders")
+    thin = gaps.where(F.dayofyear(DAY) == 1).withColumn(KEY, F.concat(KEY, F.lit(" thin")))
+    holed = gaps.withColumns({KEY: F.concat(KEY, F.lit(" holed")), "value": F.lit(None).cast("decimal(28,2)"), "high": F.lit(None).cast("decimal(18,2)")})
+    rows = gaps.unionByName(thin).unionByName(holed).withColumn("spread", F.col("high") - F.col("low"))
+    out = Q.validate_series(rows, key=KEY, columns=["value", "high", "low", "n_orders", "spread"])
     return out.withColumn("errors", F.concat_ws("; ", "errors"))
 
 
@@ -159,23 +166,60 @@ def dq_report(spark, sf_dir):
 
 @query(
     with_(*I.RUNS)
-    + """, measured AS (
+    + """, unclear AS (SELECT * REPLACE (CASE WHEN model = 'naive_7' AND run_year = 1998 THEN NULL ELSE avg_rmse END AS avg_rmse) FROM results),
+measured AS (
   SELECT series_key, run_year, model, 'performance_degradation' AS kind, avg_rmse / MIN(avg_rmse) OVER e - 1 AS value
-  FROM results WINDOW e AS (PARTITION BY series_key, run_year)
-  UNION ALL SELECT series_key, run_year, model, 'data_quality', test_rows / 365.0::DOUBLE FROM results)
-SELECT *, CASE kind WHEN 'data_quality' THEN 0.7::DOUBLE ELSE 0.1 END AS threshold FROM measured
-WHERE (kind = 'data_quality' AND value < 0.7) OR (kind <> 'data_quality' AND value > 0.1)"""
+  FROM unclear WINDOW e AS (PARTITION BY series_key, run_year)
+  UNION ALL SELECT series_key, run_year, model, 'data_quality', test_rows / 365.0::DOUBLE FROM unclear
+  UNION ALL SELECT series_key, run_year, model, 'error_rate', 1 - test_rows / 365.0::DOUBLE FROM unclear
+  UNION ALL SELECT series_key, run_year, model, 'drift', value FROM (
+    SELECT *, ABS(avg_mae / LAG(avg_mae) OVER o - 1) AS value, LAG(run_year) OVER o AS before
+    FROM unclear WINDOW o AS (PARTITION BY series_key, model ORDER BY run_year)) d WHERE before IS NOT NULL)
+SELECT *, CASE kind WHEN 'data_quality' THEN 0.7::DOUBLE WHEN 'drift' THEN 0.5 WHEN 'error_rate' THEN 0.05 ELSE 0.1 END AS threshold
+FROM measured WHERE value IS NULL OR CASE kind WHEN 'data_quality' THEN value < 0.7 WHEN 'drift' THEN value > 0.5
+  WHEN 'error_rate' THEN value > 0.05 ELSE value > 0.1 END"""
 )
 def alerts(spark, sf_dir):
-    """Models that fell behind the best by more than a tenth, and runs on too few days."""
-    results = I.results(spark, sf_dir)
+    """Models behind the best, runs on too few days, days without a prediction, errors far from the year before;
+    the error of one model is unknown in one year."""
+    lost = (F.col("model") == "naive_7") & (F.col("run_year") == 1998)
+    results = I.results(spark, sf_dir).withColumn("avg_rmse", F.when(~lost, F.col("avg_rmse")))
     best = F.min("avg_rmse").over(Window.partitionBy(*I.EXPERIMENT))
-    kinds = F.array(
-        F.struct(F.lit("performance_degradation").alias("kind"), (F.col("avg_rmse") / F.col("_best") - 1).alias("value")),
-        F.struct(F.lit("data_quality").alias("kind"), (F.col("test_rows") / F.lit(365.0)).alias("value")),
-    )
-    measured = results.withColumn("_best", best).select(*I.EXPERIMENT, "model", F.inline(kinds))
-    return Q.alerts(measured, kind="kind", value="value")
+    years = Window.partitionBy(KEY, "model").orderBy("run_year")
+    share = F.col("test_rows") / F.lit(365.0)
+    values = {
+        "performance_degradation": F.col("avg_rmse") / F.col("_best") - 1, "data_quality": share, "error_rate": 1 - share,
+        "drift": F.abs(F.col("avg_mae") / F.col("_before") - 1),
+    }
+    kinds = F.array(*(F.struct(F.lit(k).alias("kind"), v.alias("value")) for k, v in values.items()))
+    placed = results.withColumns({"_best": best, "_before": F.lag("avg_mae").over(years)})
+    measured = placed.select(*I.EXPERIMENT, "model", "_before", F.inline(kinds))
+    # The first year has no year before it.
+    return Q.alerts(measured.where("kind <> 'drift' or _before is not null").drop("_before"), kind="kind", value="value")
+
+
+UNCLEAR = ("unclear AS (SELECT * REPLACE ("
+    + ", ".join(f"CASE WHEN model IN ('naive_7', 'mean_7') THEN NULL ELSE {c} END AS {c}" for c in ("avg_rmse", "avg_r2", "avg_mae"))
+    + ") FROM results)")
+
+
+@query(
+    with_(*I.RUNS, UNCLEAR)
+    + """SELECT series_key, run_year, model, ROUND(avg_rmse, 4) AS test_rmse,
+  CASE WHEN avg_r2 IS NULL THEN NULL WHEN avg_r2 >= 0.95 THEN 'A+ (Excellent)' WHEN avg_r2 >= 0.9 THEN 'A (Très bon)'
+    WHEN avg_r2 >= 0.8 THEN 'B (Bon)' WHEN avg_r2 >= 0.7 THEN 'C (Acceptable)' ELSE 'D (Insuffisant)' END AS performance_grade,
+  CASE WHEN avg_rmse IS NULL THEN NULL WHEN MIN(avg_rmse) OVER e > 0 THEN ROUND((avg_rmse - MIN(avg_rmse) OVER e) / MIN(avg_rmse) OVER e * 100, 2) ELSE 0 END AS rmse_gap_percent,
+  CASE WHEN avg_r2 IS NULL THEN NULL WHEN MAX(avg_r2) OVER e > 0 THEN ROUND((MAX(avg_r2) OVER e - avg_r2) / MAX(avg_r2) OVER e * 100, 2) ELSE 0 END AS r2_gap_percent
+FROM unclear WINDOW e AS (PARTITION BY series_key, run_year)"""
+)
+def unknown_metrics(spark, sf_dir):
+    """Grades and gaps where the metrics of one model are missing and those of another are NaN."""
+    names = ["avg_rmse", "avg_r2", "avg_mae"]
+    lost = F.when(F.col("model") == "mean_7", F.lit(float("nan"))).when(F.col("model") != "naive_7", F.lit(0.0))
+    rows = I.results(spark, sf_dir).withColumn("_lost", lost)
+    rows = rows.withColumns({c: F.when(F.col("_lost") == 0, F.col(c)).otherwise(F.col("_lost")) for c in names})
+    out = S.performance_gaps(S.performance_summary(rows), I.EXPERIMENT)
+    return out.select(*I.EXPERIMENT, "model", "test_rmse", "performance_grade", "rmse_gap_percent", "r2_gap_percent")
 
 
 @query(
@@ -298,22 +342,19 @@ def clean_metric_names(spark, sf_dir):
     return I.read(spark, sf_dir, "orders").select(clean_metric_name(raw).alias("metric")).distinct()
 
 
-# Every year in which the order table has orders.
-RUN_YEARS = range(1995, 2002)
-
-
 @query(
     with_(*I.RUNS)
-    + "SELECT series_key, model, "
-    + ", ".join(f"MAX(CASE WHEN run_year = {y} THEN avg_rmse END) AS rmse_{y}" for y in RUN_YEARS)
-    + " FROM results GROUP BY 1, 2"
+    + """SELECT m.series_key, m.model, y.metric, r.avg_rmse AS value
+FROM (SELECT DISTINCT series_key, model FROM results) m CROSS JOIN (SELECT DISTINCT 'rmse_' || run_year AS metric FROM results) y
+LEFT JOIN results r ON r.series_key = m.series_key AND r.model = m.model AND 'rmse_' || r.run_year = y.metric"""
 )
 def metrics_pivot(spark, sf_dir):
-    """Model metrics over time, one column per year."""
-    runs = I.results(spark, sf_dir).select(
+    """Model metrics over time, one column for each year of the runs, compared as rows."""
+    runs = I.stored_results(spark, sf_dir).select(
         KEY, "model", F.format_string("rmse_%d", "run_year").alias("metric"), F.col("avg_rmse").alias("value")
     )
-    return M.pivot_runs(runs, [KEY, "model"], [f"rmse_{y}" for y in RUN_YEARS])
+    wide = M.pivot_runs(runs, [KEY, "model"])
+    return wide.unpivot([KEY, "model"], wide.columns[2:], "metric", "value")
 
 
 @query(
@@ -509,33 +550,29 @@ def run_log(spark, sf_dir):
 
 @query(
     with_(*I.SERIES, I.PREDICTIONS)
-    + """SELECT f.series_key, f.day, CAST(f.value AS DOUBLE) AS value, COALESCE(p.yhat, 0) AS predicted_value FROM (
+    + """SELECT f.series_key, f.day, p.model, CAST(f.value AS DOUBLE) AS value, COALESCE(p.yhat, 0) AS predicted_value FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY series_key ORDER BY day DESC) AS r FROM filled) f
-LEFT JOIN (SELECT series_key, yhat, ROW_NUMBER() OVER (PARTITION BY series_key ORDER BY day DESC) AS r FROM predictions
-  WHERE model = 'mean_30') p ON p.series_key = f.series_key AND p.r = 1 WHERE f.r = 1"""
+LEFT JOIN (SELECT series_key, model, yhat, ROW_NUMBER() OVER (PARTITION BY series_key, model ORDER BY day DESC) AS r
+  FROM predictions) p ON p.series_key = f.series_key AND p.r = 1 WHERE f.r = 1"""
 )
 def dashboard_headline(spark, sf_dir):
-    """The newest day of each series with the newest prediction beside it."""
-    log = I.predictions(spark, sf_dir).where(F.col("model") == "mean_30")
+    """The newest day of each series with the newest prediction of every model beside it."""
+    log = I.predictions(spark, sf_dir)
     newest = latest_row(I.filled(spark, sf_dir), key=KEY, order=[DAY]).withColumn("value", F.col("value").cast(D))
-    predicted = latest_row(log, key=KEY, order=[DAY]).select(KEY, F.col("yhat").alias("value"))
-    return P.headline(newest, predicted, key=KEY, columns=["value"])
+    predicted = keep_last(log, keys=[KEY, "model"], priority=[DAY]).select(KEY, "model", F.col("yhat").alias("value"))
+    return P.headline(newest, predicted, key=KEY, columns=["value"], ids=["model"])
 
 
 @query(
     with_(I.DAILY)
-    + """SELECT series_key, CAST(COUNT(*) AS INTEGER) AS points, MIN(day) AS first_day, MAX(day) AS last_day,
-  CAST(SUM(n_orders) AS BIGINT) AS orders FROM (
+    + """SELECT series_key, STRING_AGG(CAST(day AS VARCHAR), ',' ORDER BY day) AS days,
+  STRING_AGG(CAST(n_orders AS VARCHAR), ',' ORDER BY day) AS orders FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY series_key ORDER BY day DESC) AS r FROM daily) t WHERE r <= 30 GROUP BY 1"""
 )
 def chart_arrays(spark, sf_dir):
-    """Equally long arrays of the last 30 days, checked through their ends and their sum."""
+    """Equally long arrays of the last 30 days."""
     packed = P.chart_arrays(I.daily(spark, sf_dir), key=KEY, day=DAY, columns=["n_orders"], n=30)
-    total = F.aggregate("n_orders", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    return packed.select(
-        KEY,
-        F.size("n_orders").alias("points"),
-        F.element_at(DAY, 1).alias("first_day"),
-        F.element_at(DAY, -1).alias("last_day"),
-        total.alias("orders"),
-    )
+    listed = [F.array_join(F.col(c).cast("array<string>"), ",").alias(n) for c, n in ((DAY, "days"), ("n_orders", "orders"))]
+    return packed.select(KEY, *listed)
+
+

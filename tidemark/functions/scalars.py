@@ -75,10 +75,11 @@ def season_fallback(year: Column, month: Column) -> Column:
 
 
 def grade(r2: Column) -> Column:
-    """Performance grade of an R2."""
+    """Performance grade of an R2; none if it is unknown."""
     # Grade labels and their lower limits.
     return (
-        F.when(r2 >= 0.95, "A+ (Excellent)")
+        F.when(r2.isNull() | F.isnan(r2), F.lit(None).cast("string"))
+        .when(r2 >= 0.95, "A+ (Excellent)")
         .when(r2 >= 0.90, "A (Très bon)")
         .when(r2 >= 0.80, "B (Bon)")
         .when(r2 >= 0.70, "C (Acceptable)")

@@ -71,8 +71,10 @@ def metrics_to_runs(metrics: DataFrame, ids: Sequence[str], names: Sequence[str]
     )
 
 
-def pivot_runs(runs: DataFrame, ids: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """The run log as one row per run; metric names are listed, so no extra job looks for them."""
+def pivot_runs(runs: DataFrame, ids: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
+    """The run log as one row per run; metric names that are listed spare the job that looks for all of them."""
+    if names is None:
+        names = [r["metric"] for r in runs.select("metric").distinct().orderBy("metric").collect()]  # a column each
     return runs.groupBy(*ids).pivot("metric", list(names)).agg(F.first("value"))
 
 

@@ -140,10 +140,14 @@ def quality_report(
 
 
 def alerts(measures: DataFrame, *, kind: str, value: str, limits: Mapping[str, float] = ALERT_LIMITS) -> DataFrame:
-    """Monitoring values that crossed their limit; quality alerts when it falls below."""
+    """Monitoring values that crossed their limit; quality alerts when it falls below.
+
+    An unknown value of a kind with a limit is an alert as well.
+    """
     limit = F.lit(None).cast("double")
     for name, threshold in limits.items():
         limit = F.when(F.col(kind) == name, F.lit(float(threshold))).otherwise(limit)
     low_is_bad = F.col(kind) == "data_quality"
-    crossed = F.when(low_is_bad, F.col(value) < F.col("threshold")).otherwise(F.col(value) > F.col("threshold"))
-    return measures.withColumn("threshold", limit).where(crossed)
+    reading = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
+    crossed = F.when(low_is_bad, reading < F.col("threshold")).otherwise(reading > F.col("threshold"))
+    return measures.withColumn("threshold", limit).where(F.col("threshold").isNotNull() & F.coalesce(crossed, F.lit(True)))

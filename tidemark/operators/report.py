@@ -106,9 +106,12 @@ def collection_stats(log: DataFrame, *, key: str, at: str, rows: str) -> DataFra
     )
 
 
-def headline(latest: DataFrame, predictions: DataFrame, *, key: str, columns: Sequence[str]) -> DataFrame:
-    """Today's measures with the prediction beside them; missing predictions show the default."""
-    named = predictions.select(key, *[F.col(c).alias(f"predicted_{c}") for c in columns])
+def headline(
+    latest: DataFrame, predictions: DataFrame, *, key: str, columns: Sequence[str], ids: Sequence[str] = ()
+) -> DataFrame:
+    """Today's measures with the prediction beside them, a row for each of ``ids`` (as the models) that
+    has one; missing predictions show the default."""
+    named = predictions.select(key, *ids, *[F.col(c).alias(f"predicted_{c}") for c in columns])
     filled = {
         f"predicted_{c}": F.coalesce(f"predicted_{c}", F.lit(HEADLINE_DEFAULTS.get(c, 0.0))) for c in columns
     }
