@@ -19,6 +19,9 @@ known to be connected are not compared again, so a group of near copies costs ab
 comparison each; lists that still hold several components are then compared exhaustively across
 components.  Either way no pair of different components is left out.
 
+Shingles are told apart by 48-bit hashes: two of one document fall together with a chance of about
+``n * n / 2 ** 49``, one in a million for 20,000 shingles, and sizes count hashes.
+
 Hot keys.  A shingle that many documents of a block have leaves the block as one count; the
 documents that have it stay with the block.  Everything else is aggregated or joined.
 
@@ -42,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import WordHashes, ngram_hashes, pack_sorted, ship, unpack_sorted
-from tidemark.session import durable
+from tidemark.session import durable, release
 
 WIDTH, THRESHOLD = 5, (75, 100)
 BLOCK_SHINGLES, BLOCK_DOCS = 2_000_000, 60_000
@@ -50,8 +53,10 @@ RANGE_SHINGLES = 1_000_000  # shingles per hash range, about; one task holds one
 HOT = 64  # members of one shingle within a block, from which only their count leaves it
 DF_MAX = 65_535  # order classes of document frequency end here
 CLUSTER, CLUSTER_SHINGLES = 5_000, 4_000_000  # classes and shingles that one task may resolve
+SHINGLE_BYTES = 6
 SHAPE = 16  # parts of the hash space that the suffix filter counts
 HUB_ROUNDS = 8
+LIST_BLOCK = 1_000  # members of a posting list that meet in one key, about
 
 _FACTS, _SHINGLES, _MEMBERS, _SHARED = 0, 1, 2, 3
 _MESSAGE = "key long, block long, kind int, a binary, b binary, c binary, d binary"
@@ -70,6 +75,18 @@ def shingles(words: list[bytes], memo: WordHashes, width: int = WIDTH) -> np.nda
     return np.unique(ngram_hashes(memo.of(words), width) >> _LOW48)
 
 
+def packed(hashes: np.ndarray) -> bytes:
+    """48-bit hashes in any order as six bytes each."""
+    return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SHINGLE_BYTES]).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    """Inverse of ``packed``."""
+    wide = np.zeros((len(data) // SHINGLE_BYTES, 8), np.uint8)
+    wide[:, :SHINGLE_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, SHINGLE_BYTES)
+    return wide.view("<u8").ravel().astype(np.uint64)
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows))
     return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, _ARROW)], schema=_ARROW)
@@ -212,7 +229,7 @@ def _hear(table: pa.Table, num: int, den: int) -> pa.Table:
             n, m = int(sizes[i]), int(at[i + 1] - at[i])
             lone[i] = n - m
             if n - m < n - -(-num * n // den) + 1:
-                lists[i] = hashes[at[i] : at[i + 1]].tobytes()
+                lists[i] = packed(hashes[at[i] : at[i + 1]])
     return pa.table(
         [
             pa.array(ids, mask=missing.astype(bool)),
@@ -235,7 +252,7 @@ def _post(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.
         h, node, n, lone, place = [], [], [], [], []
         for r in batch.to_pylist():
             take = r["n"] - -(-num * r["n"] // den) + 1 - r["lone"]
-            own = np.frombuffer(r["shared"], np.uint64)[:take]
+            own = unpacked(r["shared"])[:take]
             h.append(own.astype(np.int64))
             node += [r["node"]] * len(own)
             n.append(np.full(len(own), r["n"], np.int64))
@@ -253,7 +270,7 @@ def _verify(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[p
     for batch in batches:
         keep = []
         for r in batch.to_pylist():
-            both = len(np.intersect1d(np.frombuffer(r["ta"], np.uint64), np.frombuffer(r["tb"], np.uint64), True))
+            both = len(np.intersect1d(unpacked(r["ta"]), unpacked(r["tb"]), True))
             keep.append(den * both >= num * (r["na"] + r["nb"] - both))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keep)], names=["a", "b", "linked"])
 
@@ -262,7 +279,7 @@ def _shape(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many shared shingles of a class fall into each part of the hash space."""
     for batch in batches:
         shapes = [
-            np.bincount((np.frombuffer(t, np.uint64) >> np.uint64(44)).astype(np.int64), minlength=SHAPE).tolist()
+            np.bincount((unpacked(t) >> np.uint64(44)).astype(np.int64), minlength=SHAPE).tolist()
             for t in batch.column(3).to_pylist()
         ]
         yield pa.RecordBatch.from_arrays(
@@ -290,7 +307,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = durable(canonical(small.unionByName(low.select("u", F.col("m").alias("v")))))
+        last, now = now, durable(canonical(small.unionByName(low.select("u", F.col("m").alias("v")))))
+        release(last)
         before, after = after, state(now)
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
@@ -350,11 +368,19 @@ def _links(classes: DataFrame, num: int, den: int) -> DataFrame:
                 break
         every = turn and (left <= 2 * total + 100_000 or turn == HUB_ROUNDS)
         if every:
-            still = placed.join(lists_open.select("h"), "h", "left_semi")
-            found = still.alias("x").join(still.alias("y"), "h").where(
-                (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & _alike(num, den)
-            )
-            pairs = found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+            # Members of a long list are dealt into blocks, and each pair of blocks is a key of its own.
+            sized = durable(parts.groupBy("h").agg(F.count("*").alias("parts"), F.sum("k").alias("k")).where("parts > 1"))
+            many = F.ceil(F.col("k") / LIST_BLOCK).cast("int")
+            still = placed.join(sized.select("h", many.alias("many")), "h")
+            still = still.withColumn("own", F.pmod(F.xxhash64("node"), F.col("many")).cast("int"))
+            x = still.withColumn("other", F.explode(F.sequence(F.col("own"), F.col("many") - 1))).alias("x")
+            y = still.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("own")))).alias("y")
+            same = (F.col("x.h") == F.col("y.h")) & (F.col("x.own") == F.col("y.other")) & (F.col("x.other") == F.col("y.own"))
+            once = (F.col("x.own") < F.col("y.own")) | (F.col("x.node") < F.col("y.node"))
+            found = x.join(y, same).where(once & (F.col("x.root") != F.col("y.root")) & _alike(num, den))
+            pairs = found.select(
+                F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
+            ).distinct()
         else:
             # The hub of a list is the same for all lists of a group as far as possible.
             rank = F.struct(F.xxhash64("node", F.lit(turn)).alias("r"), "node", "root", "n", "lone", "place")
@@ -383,7 +409,7 @@ def _resolve(table: pa.Table, num: int, den: int) -> pa.Table:
     count = len(rows)
     n = np.array([r["n"] for r in rows], np.int64)
     lone = np.array([r["lone"] for r in rows], np.int64)
-    sets = [np.frombuffer(r["shared"], np.uint64) for r in rows]
+    sets = [unpacked(r["shared"]) for r in rows]
     take = n - -(-num * n // den) + 1 - lone
     shapes = np.stack([np.bincount((x >> np.uint64(44)).astype(np.int64), minlength=SHAPE) for x in sets])
 
@@ -436,24 +462,36 @@ def _resolve(table: pa.Table, num: int, den: int) -> pa.Table:
     )
 
 
-def _labels(classes: DataFrame, num: int, den: int) -> DataFrame:
-    """(node, root) of all classes that are connected with others."""
-    postings = classes.select("node", "n", "lone", "shared").mapInArrow(lambda it: _post(it, num, den), _POSTING)
+def _labels(index: DataFrame, num: int, den: int) -> DataFrame:
+    """(node, root) of all classes that are connected with others.
+
+    ``index`` is a stored table; a class may stand in several of its rows, one for each block.
+    Only keys and sizes move until the clusters are known; then the shingles move once to their
+    class and once to their cluster.
+    """
+    postings = index.select("node", "n", "lone", "shared").mapInArrow(lambda it: _post(it, num, den), _POSTING)
     postings = durable(postings.select("h", "node"))
     # Every list as a star around its smallest member: the clusters of candidates.
     hubs = postings.groupBy("h").agg(F.min("node").alias("b"), F.max("node").alias("last")).where("b != last")
     stars = postings.join(hubs.select("h", "b"), "h").where("node != b").select(F.col("node").alias("a"), "b").distinct()
     clusters = components(stars)
+    release(postings)
     clusters = durable(clusters.unionByName(clusters.select(F.col("root").alias("node"), "root").distinct()))
-    own = classes.select("node", "n", "lone", "shared", "shape").join(clusters, "node")
-    held = own.select("root", F.octet_length("shared").alias("bytes")).groupBy("root")
-    held = durable(held.agg(F.count("*").alias("k"), (F.sum("bytes") / 8).alias("shingles")))
+    sizes = index.select("node", F.octet_length("shared").alias("bytes")).distinct().join(clusters, "node")
+    held = durable(sizes.groupBy("root").agg(F.count("*").alias("k"), (F.sum("bytes") / SHINGLE_BYTES).alias("shingles")))
     small = (F.col("k") <= CLUSTER) & (F.col("shingles") <= CLUSTER_SHINGLES)
-    fit = own.drop("shape").join(held.where(small).select("root"), "root", "left_semi")
+
+    def members(which: Column) -> DataFrame:
+        """Every class of some clusters once, with its shingles."""
+        nodes = durable(clusters.join(held.where(which).select("root"), "root", "left_semi"))
+        return index.select("node", "n", "lone", "shared").join(nodes, "node").dropDuplicates(["node"])
+
+    fit = members(small)
     edges = durable(fit.groupBy("root").applyInArrow(lambda t: _resolve(t, num, den), "a binary, b binary"))
     labels = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     if held.where(~small).limit(1).count():
-        large = durable(own.join(held.where(~small).select("root"), "root", "left_semi").drop("root"))
+        shaped = "node binary, n long, lone long, shared binary, shape array<int>"
+        large = durable(members(~small).select("node", "n", "lone", "shared").mapInArrow(_shape, shaped))
         labels = labels.unionByName(_links(large, num, den))
     return labels
 
@@ -474,10 +512,7 @@ def _rooted(
     counted = spoken.groupBy("key").applyInArrow(_count, _MESSAGE)
     facts = durable(counted.groupBy("block").applyInArrow(lambda t: _hear(t, num, den), _FACT_ROWS))
     index = facts.where("shared is not null").select(F.col("key").alias("node"), "n", "lone", "shared")
-    classes = durable(
-        index.dropDuplicates(["node"]).mapInArrow(_shape, "node binary, n long, lone long, shared binary, shape array<int>")
-    )
-    labels = _labels(classes, num, den).withColumnRenamed("node", "key")
+    labels = _labels(index, num, den).withColumnRenamed("node", "key")
     small = facts.select("doc_id", "n", "key", "mark")
     full = small.where("n > 0").join(labels, "key", "left").withColumn("root", F.coalesce("root", "key"))
     return small.where("n = 0"), full
@@ -493,7 +528,8 @@ def near_groups(
     """
     empty, full = _rooted(docs, id_col, text_col, width, threshold)
     empty = empty.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    smallest = full.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # A table of its own, so that the join is of two plain shuffles and a root with many rows can be split.
+    smallest = durable(full.groupBy("root").agg(F.min("doc_id").alias("component_id")))
     full = full.join(smallest, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return full.unionByName(empty)
 
