@@ -189,9 +189,9 @@ def importances(models: Mapping[str, PipelineModel], spark, *, features: Sequenc
     return spark.createDataFrame(rows, "model string, target string, feature string, importance double")
 
 
-# Fixed values of the search: trials before proposals, trials of a round, share of trials that count
-# as good, values drawn for each proposal, trees that a proposal is screened with.
-STARTUP, ROUND, GOOD, DRAWN, SCREEN = 8, 4, 0.25, 24, 20
+# Settings of the search: trials before proposals, trials of a round, share of trials that count as
+# good, values drawn for each proposal, trees of an early trial, trials that are grown in full.
+STARTUP, ROUND, GOOD, DRAWN, EARLY, FINALISTS = 8, 4, 0.25, 24, 20, 3
 
 
 def _density(x: int, points: Sequence[int], low: int, high: int) -> float:
@@ -232,9 +232,10 @@ def tune_forest(
     """Seeded informed search; each trial is scored by pooled RMSE on a validation tail of train.
 
     ``valid`` marks the validation rows (the latest part of the training rows), so the test rows play
-    no part in choosing parameters.  The first trials are drawn evenly; later ones are proposed by
-    what good trials have in common, twice as many as are wanted, and the better half on a few trees
-    is tried in full.  The forests of a round grow together.  Returns the best setting and all trials.
+    no part in choosing parameters.  The first trials are drawn evenly, later ones proposed by what
+    good trials have in common.  Trials are compared on ``EARLY`` trees each; the best ``FINALISTS``
+    are then grown to their own number of trees and scored again.  The forests of a round grow
+    together.  Returns the best setting and all trials with their last score.
     """
     draw = random.Random(seed)
     fit_rows, check_rows = durable(train.where(~valid)), durable(train.where(valid))
@@ -251,14 +252,16 @@ def tune_forest(
 
     outcomes: list[tuple[dict[str, int], float]] = []
     while len(outcomes) < trials:
-        count = min(ROUND, trials - len(outcomes))
+        count = min(ROUND if len(outcomes) >= STARTUP else STARTUP, trials - len(outcomes))
         if len(outcomes) < STARTUP:
             settings = [{n: draw.randint(*ranges[n]) for n in ranges} for _ in range(count)]
         else:
-            settings = propose(outcomes, ranges, draw, 2 * count)
-            few = scored([{**s, "numTrees": min(SCREEN, s["numTrees"])} for s in settings])
-            settings = [s for _, s in sorted(zip(few, settings), key=lambda x: x[0])][:count]
-        outcomes += zip(settings, scored(settings), strict=True)
+            settings = propose(outcomes, ranges, draw, count)
+        early = scored([{**s, "numTrees": min(EARLY, s["numTrees"])} for s in settings])
+        outcomes += zip(settings, early, strict=True)
+    best = sorted(range(trials), key=lambda i: outcomes[i][1])[:FINALISTS]
+    for i, error in zip(best, scored([outcomes[i][0] for i in best]), strict=True):
+        outcomes[i] = (outcomes[i][0], error)
     return min(outcomes, key=lambda o: o[1])[0], outcomes
 
 

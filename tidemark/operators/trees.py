@@ -35,6 +35,7 @@ from ..session import durable, ship
 BINS = 64
 LOCAL_ROWS = 100_000
 NODES_AT_ONCE = 500  # nodes whose histograms one pass adds up
+CELLS_AT_ONCE = 150_000  # numbers that a pass over the sorted rows holds, so that they stay in the processor's cache
 # Poisson(1): chances of at most 0, 1, 2, ... copies of a row in a bootstrap sample.
 _CHANCES = np.cumsum(np.exp(-1) / np.cumprod(np.r_[1.0, np.arange(1, 12)]))
 
@@ -112,7 +113,7 @@ def _splits(order: np.ndarray, codes: np.ndarray, stats: np.ndarray, sizes: np.n
     rank = np.arange(m) - start[node] + 1
     inner = (rank >= least) & (sizes[node] - rank >= least)
     best = np.full(nodes, -np.inf), np.full(nodes, -1), np.zeros(nodes, np.int64)
-    step = max(1, 2_000_000 // (len(stats) * m))
+    step = max(1, CELLS_AT_ONCE // (len(stats) * m))
     for first in range(0, len(order), step):
         own = order[first : first + step]
         bins = np.take_along_axis(codes[first : first + step], own, axis=1)
@@ -137,15 +138,34 @@ def _splits(order: np.ndarray, codes: np.ndarray, stats: np.ndarray, sizes: np.n
     return best
 
 
+def _splits_of_few(bins: np.ndarray, slot: np.ndarray, stats: np.ndarray, nodes: int, least: int) -> tuple[np.ndarray, ...]:
+    """As ``_splits`` from histograms, which needs no order but ``BINS`` cells for each node and feature."""
+    n, features = bins.shape
+    cells = (bins + np.arange(features) * BINS + slot[:, None] * (features * BINS)).ravel()
+    size, shape = nodes * features * BINS, (nodes, features, BINS)
+    counts = np.cumsum(np.bincount(cells, minlength=size).reshape(shape), axis=2)
+    upto = np.cumsum(np.stack([np.bincount(cells, np.repeat(s, features), size).reshape(shape) for s in stats]), axis=3)
+    left, whole = upto[..., :-1], upto[..., -1:]
+    right = whole - left
+    fits = (counts[..., :-1] >= least) & (counts[..., -1:] - counts[..., :-1] >= least)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = (left[1:] ** 2).sum(axis=0) / left[0] + (right[1:] ** 2).sum(axis=0) / right[0] - (whole[1:] ** 2).sum(axis=0) / whole[0]
+    gain = np.where(fits, gain, -np.inf).reshape(nodes, -1)
+    at = gain.argmax(axis=1)
+    best = gain[np.arange(nodes), at]
+    feature, place = np.divmod(at, BINS - 1)
+    return best, np.where(np.isfinite(best), feature, -1), place
+
+
 def grow(bins: np.ndarray, y: np.ndarray, weight: np.ndarray, depth: int, least_split: int, least_leaf: int) -> list[list]:
     """Nodes [feature or -1, bin, left, right, gain, rows' mean of every target] of a tree, its root first.
 
-    All nodes of a level are split together; every feature keeps its rows sorted by node and bin.
+    All nodes of a level are split together, from histograms while they are few against their rows, later
+    from rows that every feature keeps sorted by node and bin.
     """
     stats = np.stack([weight, *(weight * t for t in y.T)])
-    codes = np.ascontiguousarray(bins.T)
-    order = np.argsort(codes, axis=1, kind="stable")
-    slot, nodes = np.zeros(len(bins), np.int32), []
+    codes, order = np.ascontiguousarray(bins.T), None
+    slot, nodes, rows = np.zeros(len(bins), np.int64), [], np.arange(len(bins))
 
     def add(total: np.ndarray) -> int:
         nodes.append([-1, 0, -1, -1, 0.0, (total[1:] / total[0]).tolist()])
@@ -154,11 +174,21 @@ def grow(bins: np.ndarray, y: np.ndarray, weight: np.ndarray, depth: int, least_
     open_ = [add(stats.sum(axis=1))]
     squares = (y**2 * weight[:, None]).sum(axis=1)
     for _ in range(depth):
-        sizes = np.bincount(slot[order[0]], minlength=len(open_))
-        gain, feature, place = _splits(order, codes, stats, sizes, least_leaf)
-        noise = 1e-9 * np.bincount(slot[order[0]], squares[order[0]], len(open_))
+        sizes = np.bincount(slot[rows], minlength=len(open_))
+        if 4 * BINS * len(open_) <= len(rows):
+            gain, feature, place = _splits_of_few(bins[rows], slot[rows], stats[:, rows], len(open_), least_leaf)
+        else:
+            if order is None:
+                order = np.argsort(codes, axis=1, kind="stable")
+            kept = np.zeros(len(bins), bool)
+            kept[rows] = True
+            order = order[kept[order]].reshape(len(order), -1)
+            # 16-bit numbers are sorted by their digits.
+            kind = np.int16 if len(open_) < 2**15 else np.int64
+            order = np.take_along_axis(order, np.argsort(slot.astype(kind)[order], axis=1, kind="stable"), axis=1)
+            gain, feature, place = _splits(order, codes, stats, sizes, least_leaf)
+        noise = 1e-9 * np.bincount(slot[rows], squares[rows], len(open_))
         split = (feature >= 0) & (gain > noise) & (sizes >= max(least_split, 2 * least_leaf))
-        rows = np.sort(order[0])
         rows = rows[split[slot[rows]]]
         if not len(rows):
             break
@@ -170,11 +200,7 @@ def grow(bins: np.ndarray, y: np.ndarray, weight: np.ndarray, depth: int, least_
             left, right = add(sums[2 * i]), add(sums[2 * i + 1])
             nodes[open_[j]][:5] = [int(feature[j]), int(place[j]), left, right, float(gain[j])]
             following += [left, right]
-        keep = np.zeros(len(bins), bool)
-        keep[rows] = True
         slot[rows] = goes
-        order = order[keep[order]].reshape(len(order), -1)
-        order = np.take_along_axis(order, np.argsort(slot[order], axis=1, kind="stable"), axis=1)
         open_ = following
     return nodes
 
