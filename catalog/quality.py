@@ -60,7 +60,7 @@ def completeness(spark, sf_dir):
 FROM dense GROUP BY 1"""
 )
 def data_summary(spark, sf_dir):
-    return P.data_summary(I.dense(spark, sf_dir), key=KEY, day=DAY, columns=["value"], numeric=1)
+    return P.data_summary(I.dense(spark, sf_dir), key=KEY, day=DAY, columns=["value"])
 
 
 @query(
@@ -527,6 +527,39 @@ def list_models(spark, sf_dir):
     return R.list_models(_promoted(spark, sf_dir), MODEL)
 
 
+@query(
+    with_(*I.RUNS, VERSIONS)
+    + """SELECT series_key, model, stage, latest_version, 'data_version=orders; deployment_ready=' || approved
+  || '; mae=' || CAST(avg_mae AS DECIMAL(28,4)) || '; model_type=' || model || COALESCE('; r2_score=' || CAST(r2 AS DECIMAL(28,4)), '')
+  || '; rmse=' || CAST(avg_rmse AS DECIMAL(28,4)) || '; training_date=' || run_id || '-12-31' AS tags
+FROM (SELECT p.*, p.version AS latest_version, avg_mae, CASE WHEN p.run_id <> 1997 THEN avg_r2 END AS r2, avg_rmse,
+    ROW_NUMBER() OVER (PARTITION BY p.series_key, p.model, stage ORDER BY version DESC) AS place
+  FROM promoted p JOIN results r ON r.series_key = p.series_key AND r.model = p.model AND r.run_year = p.run_id) t
+WHERE place = 1"""
+)
+def model_tags(spark, sf_dir):
+    """The newest version of every stage with its tags; the R2 of one year is unknown and has no tag."""
+    measured = I.stored_results(spark, sf_dir).withColumnRenamed("run_year", "run_id")
+    measured = measured.withColumn("avg_r2", F.when(F.col("run_id") != 1997, F.col("avg_r2")))
+    versions = _promoted(spark, sf_dir).join(measured, [*MODEL, "run_id"])
+    tagged = R.with_tags(
+        versions, metrics={"rmse": "avg_rmse", "r2_score": "avg_r2", "mae": "avg_mae"}, model_type="model", ready="approved",
+        trained=F.make_date("run_id", F.lit(12), F.lit(31)), data="orders",
+    )
+    listed = R.list_models(tagged, MODEL)
+    text = F.array_join(F.transform(F.array_sort(F.map_entries("tags")), lambda e: F.concat_ws("=", e["key"], e["value"])), "; ")
+    return listed.select(*MODEL, "stage", "latest_version", text.alias("tags"))
+
+
+@query(
+    with_(*I.RUNS, VERSIONS)
+    + """SELECT series_key, COUNT(DISTINCT model) AS models, COUNT(*) AS versions,
+  COUNT(DISTINCT CASE WHEN stage = 'Production' THEN model END) AS serving FROM promoted GROUP BY 1"""
+)
+def model_counts(spark, sf_dir):
+    return R.model_counts(_promoted(spark, sf_dir), [KEY], ["model"])
+
+
 @query(
     with_(*I.RUNS, VERSIONS)
     + "SELECT series_key, model, MAX(version) AS version FROM promoted WHERE stage = 'Production' GROUP BY 1, 2"

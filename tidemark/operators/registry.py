@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def next_versions(versions: DataFrame, candidates: DataFrame, model: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -38,11 +38,33 @@ def production_version(versions: DataFrame, model: Sequence[str]) -> DataFrame:
     return versions.where(F.col("stage") == "Production").groupBy(*model).agg(F.max("version").alias("version"))
 
 
+def with_tags(
+    versions: DataFrame, *, metrics: Mapping[str, str], model_type: str, ready: str, trained: Column, data: str
+) -> DataFrame:
+    """Add ``tags``, a map of texts: the metrics in four digits (unknown ones are left out), type, day, verdict and data."""
+    texts = {tag: F.nanvl(F.col(c), F.lit(None).cast("double")).cast("decimal(28,4)") for tag, c in metrics.items()}
+    texts |= {
+        "model_type": F.col(model_type), "training_date": F.date_format(trained, "yyyy-MM-dd"),
+        "deployment_ready": F.col(ready), "data_version": F.lit(data),
+    }
+    pairs = F.array(*(F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in texts.items()))
+    return versions.withColumn("tags", F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull())))
+
+
 def list_models(versions: DataFrame, model: Sequence[str]) -> DataFrame:
-    """Per model the newest version of every stage, with the version's tags."""
-    newest = versions.groupBy(*model, "stage").agg(
+    """Per model the newest version of every stage, with the version's tags where versions carry them."""
+    tags = [F.max_by("tags", "version").alias("tags")] if "tags" in versions.columns else []
+    return versions.groupBy(*model, "stage").agg(
         F.max("version").alias("latest_version"),
         F.max_by("run_id", "version").alias("run_id"),
         F.count("*").alias("n_versions"),
+        *tags,
+    )
+
+
+def model_counts(versions: DataFrame, groups: Sequence[str], model: Sequence[str]) -> DataFrame:
+    """Models, versions, and models that serve, per group."""
+    serving = F.when(F.col("stage") == "Production", F.struct(*model))
+    return versions.groupBy(*groups).agg(
+        F.count_distinct(F.struct(*model)).alias("models"), F.count("*").alias("versions"), F.count_distinct(serving).alias("serving")
     )
-    return newest

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..schema import numeric_columns
 from .features import last_rows
 from .ingest import absent_rows
 
@@ -49,7 +50,7 @@ def chart_arrays(series: DataFrame, *, key: str, day: str, columns: Sequence[str
     return packed.select(key, *[F.col(f"_points.{c}").alias(c) for c in [day, *columns]])
 
 
-def data_summary(df: DataFrame, *, key: str, day: str, columns: Sequence[str], numeric: int) -> DataFrame:
+def data_summary(df: DataFrame, *, key: str, day: str, columns: Sequence[str]) -> DataFrame:
     """Rows, columns, date range, numeric columns, missing cells and 8-byte cell volume per series."""
     missing = F.lit(0).cast("bigint")
     for c in columns:
@@ -59,7 +60,7 @@ def data_summary(df: DataFrame, *, key: str, day: str, columns: Sequence[str], n
         F.lit(len(df.columns)).alias("n_columns"),
         F.min(day).alias("first_day"),
         F.max(day).alias("last_day"),
-        F.lit(numeric).alias("numeric_columns"),
+        F.lit(len([c for c in numeric_columns(df) if c in columns])).alias("numeric_columns"),
         missing.alias("missing_cells"),
         (F.count("*") * (8 * len(df.columns))).alias("cell_bytes"),
     )
