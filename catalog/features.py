@@ -9,6 +9,7 @@ from tidemark.operators import features as W
 from tidemark.operators.framing import blocked, series_window
 from tidemark.operators.ingest import with_scenarios
 from tidemark.operators.split_scale import apply_scaler, fit_scaler, split_by_date, temporal_split, temporal_split_raw, time_folds
+from tidemark.plans.stages import SeriesScaler, SeriesScalerModel
 from tidemark.schema import FEATURES
 from tidemark.session import durable, work_path
 from tidemark.sources.store import stage
@@ -390,7 +391,7 @@ def ts_folds(spark, sf_dir):
 SCALED = ["f_lag_1", "f_ma_7", "f_ma_30", "f_diff_1", "f_month"]
 
 
-@query(
+SCALED_ROWS = (
     with_(*I.SERIES, NUMBERED, MATRIX)
     + """, parted AS (
   SELECT *, CASE WHEN ROW_NUMBER() OVER (PARTITION BY series_key ORDER BY day)
@@ -402,8 +403,22 @@ SELECT p.series_key, p.day, p.split, """
     + ", ".join(f"ROUND(({f} - m_{f}) / CASE WHEN s_{f} = 0 THEN 1 ELSE s_{f} END, 6) AS {f}" for f in SCALED)
     + " FROM parted p JOIN fitted f ON f.series_key = p.series_key"
 )
+
+
+@query(SCALED_ROWS)
 def scale_features(spark, sf_dir):
     split = temporal_split(matrix(spark, sf_dir), key=KEY, order=[DAY])
     fitted = fit_scaler(split, key=KEY, features=SCALED, fit_on=F.col("split") == "train")
     out = apply_scaler(split, fitted, key=KEY, features=SCALED)
     return out.select(KEY, DAY, "split", *_doubles(SCALED, dict.fromkeys(SCALED, 6)))
+
+
+@query(SCALED_ROWS)
+def saved_scaler(spark, sf_dir):
+    """A fitted scaler written, read again and applied to the rows as new data."""
+    split = durable(temporal_split(matrix(spark, sf_dir), key=KEY, order=[DAY]).select(KEY, DAY, "split", *SCALED))
+    path = work_path(spark, "scaler")
+    scaler = SeriesScaler(key=KEY, features=SCALED, targets=["value"]).fit(split.where("split = 'train'"))
+    scaler.write().save(path)
+    out = SeriesScalerModel.load(path).transform(split)
+    return out.select(KEY, DAY, "split", *_doubles(SCALED, dict.fromkeys(SCALED, 6)))

@@ -234,3 +234,21 @@ def test_model_queries_leave_nothing_out(spark, monkeypatch):
     scored = models.batch_scoring(spark, "/root/testdata/sf0.001")
     assert scored.columns == ["series_key", "day", "value_ahead_hat", "high_ahead_hat", "low_ahead_hat"]
     assert scored.dropna().count() == scored.count() > 0
+
+
+def test_saved_scaler_gives_equal_results(spark, rows):
+    from tidemark.plans.stages import SeriesScaler, SeriesScalerModel
+
+    train = rows.where("split = 'train'")
+    fitted = SeriesScaler(features=NAMES, targets=["value_ahead"]).fit(train)
+    path = work_path(spark, "test-scaler")
+    fitted.write().save(path)
+    again = SeriesScalerModel.load(path)
+    assert again.getOrDefault("features") == NAMES and again.getOrDefault("targets") == ["value_ahead"]
+    assert again.transform(rows).exceptAll(fitted.transform(rows)).count() == 0
+    new = rows.withColumn("series_key", F.lit("unseen"))
+    assert again.transform(new).count() == 0
+    pipeline = Pipeline(stages=[SeriesScaler(features=NAMES), VectorAssembler(inputCols=NAMES, outputCol="features")]).fit(train)
+    folder = work_path(spark, "test-scaler-pipeline")
+    T.save_pipeline(pipeline, folder)
+    assert T.load_pipeline(folder).transform(rows).count() == rows.count()
