@@ -6,8 +6,8 @@ characters) look like ordinary text alone.  A weak part is reported only if a co
 lies in its scope: an identifier or an endpoint needs a secret, a secret needs an identifier or
 an endpoint, each within ``REACH`` code points.
 
-Positions: a text split by a pattern and the matches of the pattern alternate, so running
-lengths of both give the offsets of every match, in code points.
+Positions come from running lengths, counted in blocks (``spans``), so that a text with very many
+matches takes time in proportion to them.
 
 The interval join: the parts of a text are placed into cells of ``REACH`` code points; a weak
 part looks into its own and the two neighbouring cells.  Parts of one kind do not overlap, so a
@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import text_or_empty
+from tidemark.llm.spans import matches, replace
 from tidemark.session import durable
 
 REACH = 160
@@ -55,24 +56,11 @@ _SPANS = "array<struct<start:int,end:int,kind:int>>"
 
 
 def spans(text: Column, pattern: str, kind: int, least: str | None = None) -> Column:
-    """Leftmost non-overlapping matches as (start, end, kind); ``least`` filters matches ``m``."""
-    gaps = F.transform(F.split(text, pattern, -1), F.char_length)
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    both = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"))  # one gap more than hits: the last hit is NULL
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("found"))
-
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + x["gap"]
-        end = start + F.coalesce(F.char_length(x["hit"]), F.lit(0))
-        ok = x["hit"].isNotNull()
-        if least:
-            ok = ok & (F.char_length(F.regexp_extract(x["hit"], pattern, 2)) >= int(least))
-        one = F.array(F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind")))
-        found = F.when(ok, F.concat(state["found"], one)).otherwise(state["found"])
-        return F.struct(end.alias("at"), found.alias("found"))
-
-    walked = F.aggregate(both, begin, step, lambda s: s["found"])
-    return F.when(text.rlike(pattern), walked).otherwise(F.array().cast(_SPANS))
+    """Leftmost non-overlapping matches as (start, end, kind); ``least`` is the least length of group 2."""
+    found = matches(text, pattern)
+    if least:
+        found = F.filter(found, lambda m: F.char_length(F.regexp_extract(m["hit"], pattern, 2)) >= int(least))
+    return F.transform(found, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.lit(kind).alias("kind"))).cast(_SPANS)
 
 
 def _of_kind(kind: int):
@@ -151,16 +139,4 @@ def report(scanned: DataFrame) -> DataFrame:
 
 def redact(text: Column, found: Column, mark: str = "<SECRET>") -> Column:
     """``text`` with every span of ``found`` replaced by ``mark``; overlapping spans become one."""
-    ordered = F.array_sort(F.transform(found, lambda s: F.struct(s["start"], s["end"])))
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(state: Column, s: Column) -> Column:
-        ahead = s["start"] >= state["at"]
-        between = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(ahead, F.concat(state["out"], between, F.lit(mark))).otherwise(state["out"]).alias("out"),
-        )
-
-    done = F.aggregate(ordered, begin, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.char_length(text))))
-    return F.when(F.size(found) > 0, done).otherwise(text)
+    return replace(text, found, mark)
