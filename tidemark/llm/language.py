@@ -1,6 +1,6 @@
 """Language identification with spans of mixed-language text.
 
-Every word (a run of letters) gets a score per language from its character bigrams and trigrams,
+Every word (a run of letters, with the marks that follow them) gets a score per language from its character bigrams and trigrams,
 word boundaries included.  The script of the word narrows the candidates: a language that hardly
 ever uses a script in the training texts cannot claim a word in it, as long as another can.
 Viterbi then labels the words of a text with one language each, where every switch costs
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import ship
-from tidemark.llm.pieces import groups
+from tidemark.llm.pieces import groups, slices
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
@@ -73,18 +73,35 @@ OTHER = len(SCRIPTS)
 
 
 @lru_cache(maxsize=1)
-def _characters() -> tuple[np.ndarray, np.ndarray]:
-    """(lower-cased letter or 0, script) of every code point."""
-    lower, script = np.zeros(0x110000, np.uint32), np.full(0x110000, OTHER, np.uint8)
+def _characters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(lower-cased letter or mark or 0, script, whether it is a mark) of every code point."""
+    lower, script, mark = np.zeros(0x110000, np.uint32), np.full(0x110000, OTHER, np.uint8), np.zeros(0x110000, bool)
     for c in range(0x110000):
-        # Marks inside words (accents, vowel signs) count as letters.
-        if unicodedata.category(chr(c))[0] in "LM":
+        # Marks after a letter (accents, vowel signs) continue its word.
+        if (kind := unicodedata.category(chr(c))[0]) in "LM":
             low = chr(c).lower()
             lower[c] = ord(low) if len(low) == 1 else c
+            mark[c] = kind == "M"
     for i, blocks in enumerate(SCRIPTS.values()):
         for first, last in blocks:
             script[first : last + 1] = i
-    return lower, script
+    return lower, script, mark
+
+
+def _without_leading_marks(now: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """``now`` with 0 for marks that no letter of their run precedes, as behind an emoji."""
+    inside = now > 0
+    edge = np.diff(np.r_[False, inside, False].astype(np.int8))
+    begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    letters = np.r_[np.flatnonzero(inside & ~marks), len(now)]
+    first = np.minimum(letters[np.searchsorted(letters, begin)], end)
+    late = first > begin
+    if not late.any():
+        return now
+    change = np.zeros(len(now) + 1, np.int64)
+    change[begin[late]] += 1
+    change[first[late]] -= 1
+    return np.where(np.cumsum(change[:-1]) > 0, 0, now)
 
 
 @dataclass
@@ -101,11 +118,11 @@ class Words:
 
 
 def words_of(texts: list[str | None]) -> Words:
-    lower, script = _characters()
+    lower, script, mark = _characters()
     raw = "\n".join(t or "" for t in texts) + "\n"
     points = np.frombuffer(raw.encode("utf-32-le"), np.uint32)
     starts = np.r_[0, np.cumsum([len(t or "") + 1 for t in texts])].astype(np.int64)
-    now = lower[points]
+    now = _without_leading_marks(lower[points], mark[points])
     inside = now > 0
     edge = np.diff(np.r_[False, inside].astype(np.int8))
     begin = np.flatnonzero(edge == 1)
@@ -255,12 +272,10 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",),
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
-            for rows in groups(texts, AT_ONCE):
-                labels, scores, spans = zip(*label([texts[i] for i in rows], shared.value))
-                kept = [c.slice(rows.start, len(rows)) for c in batch.columns[: len(keep)]]
+            for part, texts in slices(batch, len(keep)):
+                labels, scores, spans = zip(*label(texts, shared.value))
                 new = [pa.array(labels, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, _SPANS)]
-                yield pa.RecordBatch.from_arrays([*kept, *new], names=names)
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *new], names=names)
 
     named = [f"__{i}" for i in range(len(keep))]
     names = [*named, "lang_pred", "score", "spans"]
