@@ -35,8 +35,8 @@ from tidemark.session import durable
 
 WEIGHTS, SHARE, CAP = (5, 2, 1), 1.5, 2
 CELLS = 4096
+CELLS_PER_OCTAVE = 64  # of weights
 SEED = 20_240_117
-MOST_TURNS = 40
 
 
 def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
@@ -65,32 +65,48 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SH
 def expected_copies(rows: DataFrame, cap: int = CAP) -> DataFrame:
     """Add ``copies`` to (source, size, weight, target): cap or factor * weight, factors by source.
 
-    The factor of a source is raised until its words are the target; each turn is one partial
-    aggregation, and with equal weights the first turn is final.
+    The heaviest documents reach the cap first, so the factor is found from running totals in the order
+    of the weights: over cells of like weight, then over the weights of the one cell in which it falls.
+    With all documents before some weight at the cap and none from it on, the factor is what is left of
+    the target by what is left of size times weight; the first weight that it does not bring above the
+    cap decides.  Without words, or with a weight that is not positive, a document has no copies.
     """
-    factors = None
-    for _ in range(MOST_TURNS):
-        if factors is None:
-            placed = rows.withColumn("factor", F.lit(None).cast("double"))
-        else:
-            placed = rows.alias("r").join(factors.alias("f"), F.col("r.source").eqNullSafe(F.col("f.source"))).select("r.*", "f.factor")
-        full = F.coalesce(F.col("factor") * F.col("weight") >= cap, F.lit(False))
-        sums = placed.groupBy("source").agg(
-            F.first("target").alias("target"),
-            F.first("factor").alias("before"),
-            F.sum(F.when(full, F.col("size")).otherwise(0)).alias("fixed"),
-            F.sum(F.when(full, 0.0).otherwise(F.col("size") * F.col("weight"))).alias("loose"),
+    cell = F.floor(F.log2("weight") * CELLS_PER_OCTAVE)
+    heavy = rows.where("weight > 0 and size > 0").select("source", "size", "weight", "target", cell.alias("cell"))
+
+    def levels(groups: DataFrame, by: str, fixed: Column, loose: Column) -> DataFrame:
+        """Factor and whether it fits for each group of (source, ``by``, words, mass, top)."""
+        order = Window.partitionBy("source").orderBy(F.desc(by))
+        before, now = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+        groups = groups.withColumns(
+            {"fixed": fixed + F.coalesce(F.sum("words").over(before), F.lit(0)), "loose": loose + F.sum("mass").over(now)}
         )
-        wanted = F.greatest(F.col("target") - cap * F.col("fixed"), F.lit(0.0))
-        factor = F.when(F.col("loose") > 0, wanted / F.col("loose")).otherwise(F.coalesce("before", F.lit(0.0)))
-        factor = F.greatest(factor, F.coalesce("before", F.lit(0.0)))
-        now = durable(sums.select("source", factor.alias("factor"), "before"))
-        moved = now.where("before is null or factor > before * (1 + 1e-12)").limit(1).count()
-        factors = now.select("source", "factor")
-        if not moved:
-            break
-    placed = rows.alias("r").join(factors.alias("f"), F.col("r.source").eqNullSafe(F.col("f.source"))).select("r.*", "f.factor")
-    return placed.withColumn("copies", F.least(F.lit(float(cap)), F.col("factor") * F.col("weight"))).drop("factor")
+        factor = F.greatest(F.col("target") - cap * F.col("fixed"), F.lit(0.0)) / F.col("loose")
+        groups = groups.withColumn("factor", F.when(F.col("loose") > 0, factor))
+        return groups.withColumn("fits", F.coalesce(F.col("factor") * F.col("top") <= cap, F.lit(False)))
+
+    def first_fit(by: str) -> Column:
+        return F.max_by(F.when(F.col("fits"), F.col("factor")), F.when(F.col("fits"), F.col(by)))
+
+    sums = (
+        F.sum("size").alias("words"), F.sum(F.col("size") * F.col("weight")).alias("mass"),
+        F.max("weight").alias("top"), F.first("target").alias("target"),
+    )
+    cells = durable(levels(heavy.groupBy("source", "cell").agg(*sums), "cell", F.lit(0), F.lit(0.0)))
+    found = cells.groupBy("source").agg(first_fit("cell").alias("whole"), F.max(F.when(F.col("fits"), F.col("cell"))).alias("ok"))
+    same = F.col("c.source").eqNullSafe(F.col("f.source"))
+    open_ = cells.alias("c").join(found.alias("f"), same & (F.coalesce(F.col("c.cell") > F.col("f.ok"), F.lit(True))))
+    split = open_.groupBy("c.source").agg(F.min_by(F.struct("c.cell", "c.fixed", (F.col("c.loose") - F.col("c.mass")).alias("loose")), "c.cell").alias("at"))
+    split = durable(split.select("source", "at.*"))
+    own = heavy.alias("c").join(split.alias("f"), same & (F.col("c.cell") == F.col("f.cell"))).select("c.*", "f.fixed", "f.loose")
+    own = own.groupBy("source", "weight", "fixed", "loose").agg(*sums)
+    inner = levels(own, "weight", F.col("fixed"), F.col("loose")).groupBy("source").agg(first_fit("weight").alias("part"))
+    found = found.alias("c").join(inner.alias("f"), same, "left")
+    most = F.lit(float("inf"))  # a target of cap times the whole source
+    factors = durable(found.select("c.source", F.coalesce("f.part", "c.whole", most).alias("factor")))
+    placed = rows.alias("c").join(factors.alias("f"), same, "left").select("c.*", "f.factor")
+    copies = F.when((F.col("weight") > 0) & (F.col("size") > 0), F.least(F.lit(float(cap)), F.col("factor") * F.col("weight"))).otherwise(0.0)
+    return placed.withColumn("copies", copies).drop("factor")
 
 
 def _filled(rows: DataFrame) -> DataFrame:
