@@ -92,7 +92,10 @@ def train(texts: list, labels: list[int], epochs: int = EPOCHS) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column, label: str = "quality", sample: int = SAMPLE) -> np.ndarray:
-    """Weights learned from labelled documents for which ``allowed`` (over doc_id) holds."""
+    """Weights learned from labelled documents for which ``allowed`` (over doc_id) holds.
+
+    Of more than ``sample`` such documents about that many are taken, by a hash of their ids.
+    """
     ship(docs.sparkSession)
     marked = labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("label"))
     marked = marked.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & allowed)
