@@ -6,9 +6,10 @@ k-mers the ``L`` smallest of the text are selected, kept in the order in which t
 text, and hashed as a tuple.  The share of equal positions of two signatures estimates a
 likeness that falls with the edit distance: moving passages about changes it, unlike MinHash.
 
-Neighbours (``with_next``): documents are cut into ranges of ids, many per task, so that each
-text crosses the network once; only the first document of a range is sent twice, to its own
-range and to the one before.  The driver sees one id per range.
+Neighbours (``with_next``): documents are cut into parts along their order, many per task, so that
+each text crosses the network once; only the first document of a part is sent twice, to its own
+part and to the one before.  The number of parts grows with the size of the texts; the driver sees
+one number for each, the first documents of the parts are a table.
 
 Edge cases: a missing text is empty; an empty text has a fingerprint of its own; a text shorter
 than k is one k-mer.  Rows of one id are ordered by a hash of their text; missing ids come last;
@@ -22,14 +23,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import ship, shuffle_partitions, text_or_empty
+from tidemark.session import durable
 
 K, L, M = 6, 2, 32
 SEED = 20_240_117
 AT_ONCE = 1 << 15  # cells of the table of orders by k-mers that are held at a time
-RANGES, MOST_RANGES = 16, 4096  # per shuffle partition, and in all
+RANGES = 16  # parts per shuffle partition at least
+PART_BYTES = 256 << 20  # text of a part at most, about
 
 _draw = np.random.Generator(np.random.PCG64(SEED))
 _TIMES = _draw.integers(0, 2**63, M, np.uint64) << np.uint64(1) | np.uint64(1)
@@ -99,30 +102,67 @@ def _hex(signature: np.ndarray) -> str:
     return signature.astype(">u4").tobytes().hex()
 
 
+def _cuts(rows: DataFrame, parts: int) -> list[float]:
+    """Descending values of ``along`` that cut the rows into about equal parts."""
+    shares = [i / parts for i in range(1, parts)]
+    found = rows.agg(F.percentile_approx("along", shares, 20 * parts)).first()[0] or []
+    return sorted(set(found), reverse=True)
+
+
+def _part_of(cuts: list[float]) -> Column:
+    """How many of the cuts are greater than ``along``, by halving."""
+    if not cuts:
+        return F.lit(0)
+    table, n = F.lit(cuts), len(cuts)
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
+        greater = F.get(table, middle) > F.col("along")
+        open_ = at["low"] < at["high"]
+        return F.struct(
+            F.when(open_ & greater, middle + 1).otherwise(at["low"]).alias("low"),
+            F.when(open_ & ~greater, middle).otherwise(at["high"]).alias("high"),
+        )
+
+    steps = F.sequence(F.lit(0), F.lit(n.bit_length()))
+    return F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.lit(n).alias("high")), halve, lambda at: at["low"])
+
+
 def with_next(docs: DataFrame) -> DataFrame:
-    """Rows (part, look, at, doc_id, text) sorted within partitions by descending id.
+    """Rows (part, look, doc_id, text) sorted within partitions by descending id.
 
     A row with ``look`` true closes its part: it repeats the first row of the following part
     (after the last part: of the first), so each row's successor is the next row.
+
+    Rows that share an id, or have none, are dealt by a hash of their text and copies by a number,
+    so that the parts are even whatever the ids are.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
-    rows = rows.withColumn("at", F.coalesce("doc_id", F.lit(-(2**63))))
-    n = min(MOST_RANGES, RANGES * shuffle_partitions(spark))
-    shares = F.array(*(F.lit(i / n) for i in range(1, n)))
-    cuts = rows.agg(F.percentile_approx("at", shares, 50 * n)).first()[0] or []
-    cuts = sorted(set(cuts), reverse=True)
-    literal = F.lit(cuts) if cuts else F.array().cast("array<bigint>")
-    rows = rows.withColumn("part", F.size(F.filter(literal, lambda c: c > F.col("at"))))
-    heads = rows.groupBy("part").agg(F.max("at").alias("at")).orderBy("part").collect()  # one row per range
-    before = [(h["at"], heads[i - 1]["part"]) for i, h in enumerate(heads)]
-    looks = spark.createDataFrame(before, "at long, before int")
-    rows = rows.join(F.broadcast(looks), "at", "left")
+    size, least = rows.agg(F.sum(F.octet_length("text") + 16), F.min("doc_id")).first()
+    place = F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(F.lit(0xFFFF))
+    rows = rows.select(
+        "*", F.col("doc_id").isNotNull().alias("has"), F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF)).alias("hash"),
+        place.alias("copy"),
+    )
+    # One number that falls along the order; a missing id counts 0, the least id 1.
+    number = F.coalesce(F.col("doc_id").cast("double") - F.lit(float(least or 0)) + 1, F.lit(0.0))
+    rows = rows.withColumn("along", number * 2.0**48 + F.col("hash") * 2.0**16 + F.col("copy"))
+    parts = max(RANGES * shuffle_partitions(spark), (size or 0) // PART_BYTES)
+    rows = rows.withColumn("part", _part_of(_cuts(rows, parts)))
+    order = ("has", "doc_id", "hash", "copy")
+    heads = durable(rows.groupBy("part").agg(F.max(F.struct(*order)).alias("head")))
+    # The part before; the first one, which has none, follows the last.
+    before = F.lag("part").over(Window.orderBy("part"))  # one row for each part
+    last = heads.agg(F.max("part")).first()[0]
+    looks = durable(heads.select("part", "head", F.coalesce(before, F.lit(last)).alias("before")))
+    first = F.struct(*order) == F.col("head")
+    rows = rows.join(looks, "part")
     own, look = F.struct("part", F.lit(False).alias("look")), F.struct(F.col("before").alias("part"), F.lit(True).alias("look"))
-    places = F.when(F.col("before").isNull(), F.array(own)).otherwise(F.array(own, look))
-    rows = rows.select(F.explode(places).alias("to"), "at", "doc_id", "text").select("to.*", "at", "doc_id", "text")
+    places = F.when(first, F.array(own, look)).otherwise(F.array(own))
+    rows = rows.select(F.explode(places).alias("to"), *order, "text").select("to.*", *order, "text")
     rows = rows.repartition(shuffle_partitions(spark), "part")
-    return rows.sortWithinPartitions("part", "look", F.desc("at"), F.xxhash64("text"))
+    return rows.sortWithinPartitions("part", "look", *map(F.desc, order)).select("part", "look", "doc_id", "text")
 
 
 _PRINT = (
