@@ -98,12 +98,13 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 def numbered(rows: DataFrame) -> DataFrame:
     """Add ``slot``: 0, 1, 2, ... within each ``shard``, without gaps."""
-    key = F.coalesce("doc_id", F.lit(-1))
-    rows = durable(rows.withColumn("cell", F.pmod(F.xxhash64(key, "text_crc32"), F.lit(CELLS))))
+    # The running number spreads rows that repeat, as those of one text without an id.
+    rows = rows.withColumn("place", F.monotonically_increasing_id())
+    rows = durable(rows.withColumn("cell", F.pmod(F.xxhash64("place"), F.lit(CELLS))))
     counts = rows.groupBy("shard", "cell").agg(F.count("*").alias("k"))
     earlier = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = durable(counts.select("shard", "cell", F.coalesce(F.sum("k").over(earlier), F.lit(0)).alias("offset")))
-    within = Window.partitionBy("shard", "cell").orderBy("doc_id", "text_crc32", "size")
+    within = Window.partitionBy("shard", "cell").orderBy("doc_id", "text_crc32", "size", "place")
     rows = rows.withColumn("n", F.row_number().over(within) - 1)
     rows = rows.join(offsets, ["shard", "cell"])
     return rows.select("doc_id", "size", "text_crc32", "shard", (F.col("offset") + F.col("n")).alias("slot"))
