@@ -24,6 +24,7 @@ id are ordered by a hash of their text; an empty table gives no files and no row
 from __future__ import annotations
 
 import io
+import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
@@ -38,13 +39,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.common import ship, shuffle_partitions, text_or_empty
-from tidemark.llm.pieces import Pieces, groups
+from tidemark.llm.pieces import BLANK, Pieces, slices
 from tidemark.session import durable, work_path
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 2
 FRAME_IDS = 65_536  # a frame is closed after the document with which it has so many ids
 DIRECTORY, SEEK, FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
+# Spark's names of file systems and Arrow's.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs"}
 _RECORD = np.dtype([("missing", "u1"), ("doc_id", "<i8"), ("n", "<u4")])
 
 
@@ -130,12 +133,54 @@ class Reader:
         return np.flatnonzero(np.isin(self.records["doc_id"], doc_ids) & (self.records["missing"] == 0)).tolist()
 
 
+# Pieces that can stand one after the other without touching: a space before and no white space at the end.
+_APART = re.compile(f" [^{BLANK}](?:.*[^{BLANK}])?", re.DOTALL)
+REMEMBERED = 192 << 20  # bytes of pieces and ids that a worker keeps from task to task; the library is slow on new ones
+_JOINED = 1_000  # pieces encoded as one text
+
+
+class Encoder:
+    """Ids of pieces.  An encoding costs the library more than its words, so pieces are encoded many at a
+    time as one text and told apart by the bytes that each id stands for."""
+
+    def __init__(self, path: str) -> None:
+        from tokenizers import Tokenizer
+
+        self.model = Tokenizer.from_file(path)  # the name of an added token in a text becomes its one id
+        names = self.model.get_vocab()
+        self.sizes = np.zeros(max(names.values()) + 1, np.int64)
+        self.sizes[list(names.values())] = [len(name) for name in names]  # byte level: a character for each byte
+
+    def _each(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def __call__(self, texts: list[str]) -> list:
+        apart = [i for i, t in enumerate(texts) if _APART.fullmatch(t)]
+        groups = [apart[i : i + _JOINED] for i in range(0, len(apart), _JOINED)]
+        out: list = [None] * len(texts)
+        for group, ids in zip(groups, self._each(["".join([texts[i] for i in g]) for g in groups])):
+            ids = np.array(ids, np.int32)
+            ends = np.cumsum(self.sizes[ids])
+            wanted = np.cumsum([len(texts[i].encode()) for i in group])
+            at = np.searchsorted(ends, wanted)
+            if len(ends) and ends[-1] == wanted[-1] and np.array_equal(ends[at], wanted):
+                for i, a, b in zip(group, np.r_[0, at[:-1] + 1].tolist(), (at + 1).tolist()):
+                    out[i] = ids[a:b]
+        left = [i for i, found in enumerate(out) if found is None]
+        for i, ids in zip(left, self._each([texts[i] for i in left])):
+            out[i] = ids
+        return out
+
+
 @lru_cache(maxsize=2)
 def _pieces(path: str) -> Pieces:
-    from tokenizers import Tokenizer
+    return Pieces(None, Encoder(path), REMEMBERED)
+
 
-    model = Tokenizer.from_file(path)  # the name of an added token in a text becomes its one id
-    return Pieces(None, lambda texts: [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)])
+def _file_system(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system and path of a folder or file that Spark names; object stores have other names there."""
+    scheme, found, rest = uri.partition("://")
+    return pyarrow.fs.FileSystem.from_uri(SCHEMES.get(scheme, scheme) + found + rest if found else uri)
 
 
 _FILES = "part int, path string, n_docs long, n_ids long"
@@ -146,6 +191,7 @@ def write(docs: DataFrame, folder: str | None = None, path: str | None = None, f
     """Write the ids of ``docs`` and return the manifest: one row per file, ``first_id`` ids before it."""
     spark = ship(docs.sparkSession)
     folder, path = folder or work_path(spark, "tokens"), path or public_tokenizers.path(VOCABULARY)
+    _file_system(folder)  # a store that Arrow does not know fails before the work starts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -154,15 +200,14 @@ def write(docs: DataFrame, folder: str | None = None, path: str | None = None, f
         task, pieces, writer, n = TaskContext.get(), _pieces(path), None, 0
         for batch in batches:
             if writer is None and batch.num_rows:
-                system, root = pyarrow.fs.FileSystem.from_uri(folder)
+                system, root = _file_system(folder)
                 system.create_dir(root, recursive=True)
                 name = f"{root}/part-{task.partitionId():05d}-{task.taskAttemptId()}.ids.zst"
                 out = system.open_output_stream(name, compression=None)
                 writer = Writer(out)
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for rows in groups(texts):
-                for i, coded in zip(rows, pieces.ids([texts[i] for i in rows])):
-                    writer.add(ids[i], coded + _ENDING)
+            for part, texts in slices(batch, 1):
+                for doc_id, coded in zip(part.column(0).to_pylist(), pieces.ids(texts)):
+                    writer.add(doc_id, coded + _ENDING)
             n += batch.num_rows
         if writer is not None:
             writer.close()
@@ -175,8 +220,11 @@ def write(docs: DataFrame, folder: str | None = None, path: str | None = None, f
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
-    rows = rows.repartitionByRange(files or shuffle_partitions(spark), "doc_id")
-    rows = rows.sortWithinPartitions(F.asc_nulls_first("doc_id"), F.xxhash64("text"))
+    # Many rows may lack an id or share one: the text's hash and a running number deal those, too.
+    order = (F.asc_nulls_first("doc_id"), F.asc("hash"), F.asc("place"))
+    rows = rows.select("*", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("place"))
+    rows = rows.repartitionByRange(files or shuffle_partitions(spark), *order).sortWithinPartitions(*order)
+    rows = rows.select("doc_id", "text")
     manifest = durable(rows.mapInArrow(run, _FILES))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     return durable(manifest.withColumn("first_id", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0).cast("long"))))
@@ -189,7 +237,7 @@ def read(manifest: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                system, name = pyarrow.fs.FileSystem.from_uri(row["path"])
+                system, name = _file_system(row["path"])
                 with system.open_input_file(name) as source:
                     reader = Reader(source)
                     for k in range(0, len(reader.records), 2_000):
