@@ -57,9 +57,8 @@ def train_compare(spark, sf_dir):
 @query()
 def topk_importance(spark, sf_dir):
     """The five most important features of the forest of each target."""
-    train = _training_rows(spark, sf_dir).where(F.col("split") == "train").cache()
+    train = durable(_training_rows(spark, sf_dir).where(F.col("split") == "train"))
     model = T.fit_models(train, family="RandomForest", features=FEATURES, targets=TARGETS)
-    train.unpersist()
     weights = T.importances({"RandomForest": model}, spark, features=FEATURES, targets=TARGETS)
     return top_importances(weights, ["model", "target"], k=5)
 
@@ -67,7 +66,7 @@ def topk_importance(spark, sf_dir):
 @query()
 def batch_scoring(spark, sf_dir):
     """A saved and reloaded linear model scoring the test rows given as feature maps."""
-    rows = _training_rows(spark, sf_dir)
+    rows = durable(_training_rows(spark, sf_dir))
     model = T.fit_models(
         rows.where(F.col("split") == "train"), family="LinearRegression", features=FEATURES, targets=TARGETS
     )

@@ -252,3 +252,34 @@ def test_saved_scaler_gives_equal_results(spark, rows):
     folder = work_path(spark, "test-scaler-pipeline")
     T.save_pipeline(pipeline, folder)
     assert T.load_pipeline(folder).transform(rows).count() == rows.count()
+
+
+@pytest.mark.parametrize("name", ["train_compare", "topk_importance", "batch_scoring", "ts_cross_validation"])
+def test_fits_take_tasks_by_size_not_by_shuffle_partitions(spark, monkeypatch, name):
+    """A few thousand rows are not fitted and scored in as many tasks as the shuffle before them has partitions."""
+    from catalog import models
+
+    monkeypatch.setitem(T.FOREST, "numTrees", 2)
+    monkeypatch.setitem(T.BOOSTING, "maxIter", 2)
+    tracker, before = spark.sparkContext.statusTracker(), spark.conf.get("spark.sql.shuffle.partitions")
+    earlier = set(tracker.getJobIdsForGroup())
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        assert getattr(models, name)(spark, "/root/testdata/sf0.001").count() > 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    jobs = [tracker.getJobInfo(j) for j in set(tracker.getJobIdsForGroup()) - earlier]
+    stages = [tracker.getStageInfo(s) for j in jobs if j for s in j.stageIds]
+    assert stages and max(s.numTasks for s in stages if s) < 64
+
+
+def test_targets_are_boosted_side_by_side(spark, rows):
+    """Small groups are not merged into one task."""
+    from tidemark.operators import trees
+
+    tracker = spark.sparkContext.statusTracker()
+    earlier = set(tracker.getJobIdsForGroup())
+    targets = ["value_ahead", *NAMES[:2]]
+    assert trees.fit_boosting(rows.where("split = 'train'"), features=NAMES, targets=targets, rounds=2, step=0.1, depth=2)
+    last = tracker.getJobInfo(max(set(tracker.getJobIdsForGroup()) - earlier))
+    assert tracker.getStageInfo(max(last.stageIds)).numTasks == 3

@@ -49,6 +49,8 @@ def fit_models(
     A forest is one model for all targets, and small tables are boosted in a task per target
     (``trees``).  The engine's learners fit linear models and boost larger tables, one regressor
     per target behind a shared assembler and scaler, submitted together over one cached table.
+    ``train`` is read several times: give a stored table (``durable``), whose parts follow its size;
+    a frame behind a shuffle is computed again, and cached in as many parts as the shuffle has.
     """
     require_columns(train, [*features, *targets])
     params = dict(params or {})
@@ -136,26 +138,24 @@ def train_and_compare(
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
     """Fit every family on the train split, score both splits, return models and metrics.
 
-    ``matrix`` carries the column ``split``.  Driver-side work is the loop over the few
-    families; data stays in Spark.
+    ``matrix`` carries the column ``split``; it is stored first, so that its parts follow its size and
+    not the number of shuffle partitions, which a cached frame keeps.  Driver-side work is the loop
+    over the few families; data stays in Spark.
     """
     require_columns(matrix, ["split", *features, *targets])
-    matrix = matrix.cache()
+    matrix = durable(matrix)
     models, results = {}, []
-    try:
-        train = matrix.where(F.col("split") == "train")
-        for family in families:
-            began = time.monotonic()
-            models[family] = fit_models(
-                train, family=family, features=features, targets=targets, params=(params or {}).get(family)
-            )
-            seconds = time.monotonic() - began
-            scored = evaluate(score(models[family], matrix, targets), ["split"], targets)
-            results.append(scored.select(F.lit(family).alias("model"), F.lit(seconds).alias("training_seconds"), "*"))
-        # The metrics table has families x splits x targets rows; keep it when the cache goes.
-        return models, durable(reduce(DataFrame.unionByName, results))
-    finally:
-        matrix.unpersist()
+    train = matrix.where(F.col("split") == "train")
+    for family in families:
+        began = time.monotonic()
+        models[family] = fit_models(
+            train, family=family, features=features, targets=targets, params=(params or {}).get(family)
+        )
+        seconds = time.monotonic() - began
+        scored = evaluate(score(models[family], matrix, targets), ["split"], targets)
+        results.append(scored.select(F.lit(family).alias("model"), F.lit(seconds).alias("training_seconds"), "*"))
+    # The metrics table has families x splits x targets rows.
+    return models, durable(reduce(DataFrame.unionByName, results))
 
 
 def results_table(metrics: DataFrame, experiment: Mapping[str, object]) -> DataFrame:

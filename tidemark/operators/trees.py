@@ -465,6 +465,7 @@ def fit_boosting(
         return _table(out, _TREES_ARROW)
 
     own = table.select(every, "bins", "y").select("tree", "bins", F.get("y", F.col("tree")).alias("y"))
+    own = own.repartitionById(len(targets), F.col("tree"))  # so small a table would be merged into one task
     ensemble = Ensemble(len(targets))
     for r in sorted(own.groupBy("tree").applyInArrow(boost, _TREES).collect(), key=lambda r: (r["tree"], r["node"])):  # the model
         if r["node"] < 0:
