@@ -137,3 +137,19 @@ def test_search_refits_the_best(rows):
     model, best, outcomes = training.tune_and_refit(rows, features=NAMES, targets=TARGETS, valid=F.col("a") > 30, trials=10, ranges=ranges)
     assert len(outcomes) == 10 and best == min(outcomes, key=lambda o: o[1])[0]
     assert model.transform(rows).where("u_hat is null").count() == 0
+
+
+def test_an_ensemble_holds_arrays_only():
+    """The driver keeps some ten numbers for each node, not an object for each."""
+    import tracemalloc
+
+    draw = np.random.default_rng(2)
+    nodes = trees.grow(draw.integers(0, 64, (4000, 3)).astype(np.uint8), draw.normal(size=(4000, 3)), np.ones(4000), 15, 2, 1)
+    own = trees.Ensemble(3)
+    tracemalloc.start()
+    for _ in range(5):
+        own.add(nodes, [np.arange(256.0)] * 3, 1.0)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 100 * 5 * len(nodes)
+    assert len(trees.unpacked(own.packed())["feature"]) == 5 * len(nodes)

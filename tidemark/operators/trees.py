@@ -209,26 +209,26 @@ class Ensemble:
     """Trees as arrays: feature (-1 at a leaf), threshold, children, gain and value of every node, and the roots."""
 
     def __init__(self, targets: int):
-        self.targets, self.nodes, self.roots, self.base = targets, [], [], np.zeros(targets)
+        self.targets, self.columns, self.size, self.roots, self.base = targets, [], 0, [], np.zeros(targets)
 
     def add(self, nodes: list[tuple], cuts: list[np.ndarray], scale: float, own: int | None = None) -> None:
         """A tree whose values count ``scale`` times; ``own`` is the target of a tree with a single one."""
-        first = len(self.nodes)
-        self.roots.append(first)
-        for feature, place, left, right, gain, value in nodes:
-            threshold = float(cuts[feature][place]) if feature >= 0 else 0.0
-            whole = np.zeros(self.targets)
-            whole[slice(None) if own is None else slice(own, own + 1)] = np.array(value) * scale
-            self.nodes.append((feature, threshold, first + left, first + right, gain, own, whole))
+        feature, place, left, right, gain, value = zip(*nodes)
+        threshold = [float(cuts[f][p]) if f >= 0 else 0.0 for f, p in zip(feature, place)]
+        whole = np.zeros((len(nodes), self.targets))
+        whole[:, slice(None) if own is None else slice(own, own + 1)] = np.array(value) * scale
+        self.columns.append(
+            {"feature": np.array(feature, np.int16), "threshold": np.array(threshold), "left": np.array(left, np.int32) + np.int32(self.size),
+             "right": np.array(right, np.int32) + np.int32(self.size), "gain": np.array(gain, float), "value": whole,
+             "own": np.full(len(nodes), -1 if own is None else own)}
+        )
+        self.roots.append(self.size)
+        self.size += len(nodes)
 
     def packed(self) -> str:
-        feature, threshold, left, right, gain, own, value = zip(*self.nodes)
         out = io.BytesIO()
-        np.savez_compressed(
-            out, feature=np.array(feature, np.int16), threshold=np.array(threshold), left=np.array(left, np.int32),
-            right=np.array(right, np.int32), gain=np.array(gain), value=np.stack(value), roots=np.array(self.roots),
-            own=np.array([-1 if o is None else o for o in own]), base=self.base,
-        )
+        joined = {name: np.concatenate([c[name] for c in self.columns]) for name in self.columns[0]}
+        np.savez_compressed(out, **joined, roots=np.array(self.roots), base=self.base)
         return base64.b64encode(out.getvalue()).decode()
 
 
@@ -408,15 +408,19 @@ def fit_forests(
         return _table([(t, n, feature, place, lefts, rights, gain, [v for x in value for v in x])], _TREES_ARROW)
 
     moved = table.mapInArrow(hand_over, "tree int, node long, weight int, bins binary, y array<double>")
-    parts: dict[int, dict[int, list]] = {}
-    for r in moved.groupBy("tree", "node").applyInArrow(finish, _TREES).collect():  # the model
-        value = np.array(r["value"]).reshape(len(r["feature"]), -1).tolist()
-        nodes = [list(x) for x in zip(r["feature"], r["place"], r["left"], r["right"], r["gain"], value)]
-        parts.setdefault(r["tree"], {})[r["node"]] = nodes
+    found = moved.groupBy("tree", "node").applyInArrow(finish, _TREES).toArrow()  # the model
+    places: dict[int, list[int]] = {}
+    for i, t in enumerate(found["tree"].to_pylist()):
+        places.setdefault(t, []).append(i)
     ensembles = [Ensemble(len(targets)) for _ in settings]
     for t, tree in enumerate(trees):
-        if t in parts:
-            ensembles[tree["forest"]].add(_joined(1, upper[t], parts[t]), cuts, 1 / settings[tree["forest"]]["numTrees"])
+        parts = {}
+        for i in places.get(t, []):  # lists of one tree at a time: they take far more room than arrays
+            r = found.slice(i, 1).to_pylist()[0]
+            value = np.array(r["value"]).reshape(len(r["feature"]), -1).tolist()
+            parts[r["node"]] = [list(x) for x in zip(r["feature"], r["place"], r["left"], r["right"], r["gain"], value)]
+        if parts:
+            ensembles[tree["forest"]].add(_joined(1, upper[t], parts), cuts, 1 / settings[tree["forest"]]["numTrees"])
     return [TreeModel(features=list(features), targets=list(targets), trees=e.packed()) for e in ensembles]
 
 
